@@ -44,9 +44,8 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """(slug, text), one row per file."""
     return (
         spark.read.schema("value string, slug string")
-        .option("wholetext", True)
-        .text(path)
-        .select("slug", F.col("value").alias("text"))
+        .text(path, wholetext=True)
+        .select("slug", F.regexp_replace("value", r"\n\z", "").alias("text"))
     )
 
 

@@ -38,7 +38,7 @@ def read_reviews(spark: SparkSession, base: str) -> DataFrame:
     """The review table: every epoch's new rows."""
     if latest_version(spark, f"{base}/review") < 0:
         return spark.createDataFrame([], schemas.REVIEW)
-    return spark.read.schema(schemas.REVIEW).parquet(f"{base}/review")
+    return spark.read.schema(schemas.REVIEW).parquet(f"{base}/review").drop("v")
 
 
 def _table_before(spark: SparkSession, path: str, epoch: int, schema: str) -> DataFrame:
