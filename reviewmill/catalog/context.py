@@ -281,13 +281,19 @@ def f10(spark: SparkSession, sf: str) -> DataFrame:
     return features.grounding(b.where("role = 'user'"), b.where("role <> 'user'"))
 
 
+# how many of four keywords occur; p is the text with its separators doubled
+COVERED = "(" + " + ".join(
+    rf"regexp_matches(p, '[^\p{{L}}\p{{N}}_]{w}[^\p{{L}}\p{{N}}_]')::INTEGER" for w in ("the", "of", "la", "de")
+) + ")"
+
+
 @register(
     "f11_context_features",
     f"""WITH {_CHUNKS}, {_GROUND}, vr AS (SELECT DISTINCT source, t FROM rw),
  g AS (SELECT c.chunk_id, count(v.t) / count(c.t)::DOUBLE AS grounding FROM cw c LEFT JOIN vr v ON v.source = c.place_id AND v.t = c.t GROUP BY 1),
  kw AS (SELECT chunk_id, ' ' || regexp_replace(lower(text_chunk), '([^\\p{{L}}\\p{{N}}_])', '\\1\\1', 'g') || ' ' AS p FROM ctx)
  SELECT chunk_id, place_id, token_count, section_title, round(coalesce(grounding, 0), 6)::DOUBLE AS grounding_score,
- round((SELECT count(*) FROM (VALUES ('the'), ('of'), ('la'), ('de')) k(w) WHERE regexp_matches(p, '[^\\p{{L}}\\p{{N}}_]' || w || '[^\\p{{L}}\\p{{N}}_]')) / 4.0::DOUBLE, 6) AS coverage_score
+ round({COVERED} / 4.0::DOUBLE, 6) AS coverage_score
  FROM ctx LEFT JOIN g USING (chunk_id) JOIN kw USING (chunk_id)""",
 )
 def f11_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -307,7 +313,7 @@ def f11_features(spark: SparkSession, sf: str) -> DataFrame:
  {token_features_sql('documents', 'doc_id', 'text')},
  c AS (SELECT doc_id, ' ' || regexp_replace(lower(text), '([^\\p{{L}}\\p{{N}}_])', '\\1\\1', 'g') || ' ' AS p FROM documents)
  SELECT d.doc_id AS review_id, source AS place_id, lang AS user_id, entropy_score, sentiment_polarity, pos_diversity, noun_verb_ratio,
- round((SELECT count(*) FROM (VALUES ('the'), ('of'), ('la'), ('de')) k(w) WHERE regexp_matches(p, '[^\\p{{L}}\\p{{N}}_]' || w || '[^\\p{{L}}\\p{{N}}_]')) / 4.0::DOUBLE, 6) AS coverage_score,
+ round({COVERED} / 4.0::DOUBLE, 6) AS coverage_score,
  round(coalesce(g, 0), 6)::DOUBLE AS grounding_score, len({sql(WORDS)}) AS token_count, len(regexp_extract_all(text, '!')) AS exclamation_count,
  round(1 - len(list_distinct({sql(WORDS)}))::DOUBLE / len({sql(WORDS)}), 6)::DOUBLE AS repetition_score, md5(text) AS text_md5, 'documents' AS source
  FROM documents d JOIN tf USING (doc_id) JOIN g USING (doc_id) JOIN c USING (doc_id)""",

@@ -218,7 +218,7 @@ def e1(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "c18_c19_relative_time",
-    f"""WITH e AS (SELECT event_id, user_id, ts, value::BIGINT AS v, {_UNITS} AS u FROM events),
+    f"""WITH e AS (SELECT event_id, user_id, ts, floor(value)::BIGINT AS v, {_UNITS} AS u FROM events),
  l AS (SELECT *, CASE WHEN user_id < 20 THEN 'an ' || u || ' ago' WHEN user_id < 40 THEN 'a ' || u || ' ago' WHEN user_id < 60
  THEN 'Edited ' || v || ' ' || u || 's ago' WHEN user_id < 80 THEN 'A ' || u || ' ago' WHEN user_id < 100 THEN v || ' ' || upper(u) || 'S ago'
  WHEN user_id < 110 THEN 'yesterday' ELSE v || '  ' || u || 's  ago!' END AS label,
@@ -229,7 +229,7 @@ def e1(spark: SparkSession, sf: str) -> DataFrame:
 )
 def c18(spark: SparkSession, sf: str) -> DataFrame:
     """Labels of every form, relative to the event's own time."""
-    v = F.round("value").cast("bigint").cast("string")
+    v = F.floor("value").cast("bigint").cast("string")
     e = table(spark, sf, "events").withColumn("u", F.expr(_UNITS))
     u = F.col("user_id")
     label = (

@@ -9,6 +9,7 @@ from reviewmill.catalog import register, table
 from reviewmill.functions import text as T
 from reviewmill.operators import language, spell
 from reviewmill.operators.cleaning import clean
+from reviewmill.plans.storage import cut
 
 # SQL fragments; {t} is the text.
 LOWER = "lower(coalesce({t},''))"
@@ -238,8 +239,6 @@ def _cleaned_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 def _vocab(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """All distinct cores, and the frequent ones as vocabulary."""
-    from reviewmill.plans.storage import cut
-
     words = cut(spell.distinct_cores(_cleaned_tokens(spark, sf)), "words")
     return words, words.where(F.col("freq") >= MIN_FREQ)
 
@@ -258,7 +257,8 @@ def j5_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 @register("j6_spell_candidates", f"WITH {_TOKENS}, {_NEAR} SELECT word, candidate, freq, dist FROM near")
 def j6_spell_candidates(spark: SparkSession, sf: str) -> DataFrame:
     words, vocab = _vocab(spark, sf)
-    return spell.spell_candidates(spell.repairable(spell.unknown_tokens(words, vocab)).select("word"), vocab)
+    unknown = cut(spell.repairable(spell.unknown_tokens(words, vocab)).select("word"), "unknown")
+    return spell.spell_candidates(unknown, vocab)
 
 
 _WIN = """win AS (SELECT word, arg_max(candidate, (freq, candidate)) AS fix, max(freq) / sum(freq)::DOUBLE AS share FROM near
@@ -271,7 +271,7 @@ _WIN = """win AS (SELECT word, arg_max(candidate, (freq, candidate)) AS fix, max
 )
 def a9_spell_winner(spark: SparkSession, sf: str) -> DataFrame:
     words, vocab = _vocab(spark, sf)
-    unknown = spell.repairable(spell.unknown_tokens(words, vocab)).select("word")
+    unknown = cut(spell.repairable(spell.unknown_tokens(words, vocab)).select("word"), "unknown")
     return spell.spell_winners(spell.spell_candidates(unknown, vocab))
 
 
