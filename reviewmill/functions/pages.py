@@ -17,6 +17,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(value: Column, fn) -> Column:
+    """``fn(value)`` with the value computed a single time, however often
+    ``fn`` refers to it."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def decode_body(c) -> Column:
     """Bytes to text, bytes that are not UTF-8 dropped."""
     return F.translate(F.make_valid_utf8(_col(c).cast("string")), "�", "")
@@ -50,10 +56,14 @@ def unescape(c) -> Column:
         "&ccedil;": "ç", "&uuml;": "ü", "&ouml;": "ö", "&auml;": "ä",
         "&szlig;": "ß", "&ntilde;": "ñ", "&euro;": "€", "&amp;": "&",
     }
-    plain = text
-    for name, char in named.items():
-        plain = F.replace(plain, F.lit(name), F.lit(char))
-    return F.when(text.contains("&"), plain).otherwise(text)
+
+    def replaced(t: Column) -> Column:
+        plain = t
+        for name, char in named.items():
+            plain = F.replace(plain, F.lit(name), F.lit(char))
+        return F.when(t.contains("&"), plain).otherwise(t)
+
+    return once(text, replaced)
 
 
 def html_main_text(c) -> Column:
@@ -78,8 +88,13 @@ def html_main_text(c) -> Column:
         r"(?is)<div\b[^>]*\bid\s*=\s*[\"']?content[\"']?[^>]*>(.*?)</div\s*>",
         r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)",
     ]
-    root = F.coalesce(*[F.when(html.rlike(p), F.regexp_extract(html, p, 1)) for p in roots])
-    return unescape(F.regexp_replace(F.coalesce(root, F.lit("")), r"(?s)<[^>]+>", "\n"))
+    root = once(
+        html,
+        lambda h: F.coalesce(
+            *[F.when(h.rlike(p), F.regexp_extract(h, p, 1)) for p in roots], F.lit("")
+        ),
+    )
+    return unescape(F.regexp_replace(root, r"(?s)<[^>]+>", "\n"))
 
 
 def _holds_any(text: Column, phrases: list[str]) -> Column:

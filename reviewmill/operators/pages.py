@@ -13,7 +13,8 @@ from reviewmill.functions.pages import (
     site_root,
 )
 from reviewmill.lexicons import SITE_PATHS
-from reviewmill.plans.skew import chunked_lists, join_skewed
+from reviewmill.plans.skew import chunked_lists
+from reviewmill.plans.storage import cut
 
 
 def candidate_urls(sites: DataFrame, url: str = "base_url") -> DataFrame:
@@ -43,8 +44,14 @@ def drop_binary_urls(df: DataFrame, url: str = "url") -> DataFrame:
 
 
 def page_texts(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text) of the cleaned main texts."""
-    return pages.select("page_id", "url", keep_lines(html_main_text("html")).alias("text"))
+    """(page_id, url, text) of the cleaned main texts, written once.
+
+    A filter on the text would otherwise be pushed below the extraction and
+    make it run twice.
+    """
+    return cut(
+        pages.select("page_id", "url", keep_lines(html_main_text("html")).alias("text")), "page-texts"
+    )
 
 
 def accept_pages(texts: DataFrame) -> DataFrame:

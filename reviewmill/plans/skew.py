@@ -32,7 +32,7 @@ def spread(df: DataFrame) -> DataFrame:
     """Use all cores for heavy work on a small table.
 
     A large scan has more splits than cores already and comes back unchanged.
-    Meant for tables read from files: planning a shuffle here would run it.
+    Only for tables just read from files, where asking for the splits is free.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
