@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reviewmill.functions.text import trim_ws
+from reviewmill.functions.text import once, trim_ws
 from reviewmill.lexicons import BINARY_EXTENSIONS, COOKIE_PHRASES, DROPPED_TAGS, ERROR_PHRASES
 
 _NOTICE_NAME = r"[a-z][\w:.-]*"
@@ -17,12 +17,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def once(value: Column, fn) -> Column:
-    """``fn(value)`` with the value computed a single time, however often
-    ``fn`` refers to it."""
-    return F.transform(F.array(value), fn)[0]
-
-
 def decode_body(c) -> Column:
     """Bytes to text, bytes that are not UTF-8 dropped."""
     return F.translate(F.make_valid_utf8(_col(c).cast("string")), "�", "")

@@ -32,8 +32,9 @@ def append_reviews(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Add flattened reviews to the store; CSV files carry no header line."""
     writer = df.write.mode("append")
     if fmt == "csv":
+        # the writer trims fields unless told not to
         writer.option("header", False).option("escape", '"').option(
             "timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"
-        ).csv(path)
+        ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     else:
         writer.format(fmt).save(path)
