@@ -226,7 +226,8 @@ def f1(spark: SparkSession, sf: str) -> DataFrame:
 def _words(spark: SparkSession, sf: str) -> DataFrame:
     from reviewmill.operators.aspects import word_forms
 
-    return table(spark, sf, "documents").select(F.explode(word_forms(F.col("text"))).alias("word")).distinct()
+    words = table(spark, sf, "documents").select(F.explode_outer(word_forms(F.col("text"))).alias("word"))
+    return cut(words.where("word is not null").distinct(), "words")
 
 
 def polarity_table(spark: SparkSession, sf: str) -> DataFrame:
