@@ -146,8 +146,7 @@ def forms_sql(src: str, cols: str, text: str = "text") -> str:
     "j12_best_article",
     f"""WITH post AS {forms_sql('documents', 'doc_id')}, total AS (SELECT count(*) AS n FROM documents),
  st AS (SELECT t, count(*) AS df FROM post GROUP BY t), q AS {forms_sql('benchmark', 'item_id')},
- s AS (SELECT item_id, doc_id, round(sum(ln(n / df::DOUBLE)), 6) AS score FROM q JOIN st USING (t) JOIN post USING (t), total
-  WHERE df <= 0.1 * n GROUP BY ALL)
+ s AS (SELECT item_id, doc_id, round(sum(ln(n / df::DOUBLE)), 6) AS score FROM q JOIN st USING (t) JOIN post USING (t), total GROUP BY ALL)
  SELECT item_id AS query_id, doc_id, score FROM s QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) = 1""",
 )
 def j12(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill import schemas
 from reviewmill.catalog import register, table
 from reviewmill.catalog.ingest import uuid5_sql
 from reviewmill.functions.ids import uuid5
 from reviewmill.plans.storage import new_path
 from reviewmill.sources.reviews import append_reviews
-from reviewmill.sources.tables import read_table
+from reviewmill.sources.tables import read_reviews, read_table
 from reviewmill.streaming import reviews as streaming
 
 
@@ -35,37 +36,40 @@ def _store_twice(spark: SparkSession, sf: str) -> tuple[str, str]:
 def r1(spark: SparkSession, sf: str) -> DataFrame:
     path, schema = _store_twice(spark, sf)
     out = new_path(spark, "stream-out")
-    rows = streaming.stream_reviews(spark, path, schema, delay="3650 days", files_per_trigger=1)
+    rows = streaming.stream_reviews(spark, path, schema, files_per_trigger=1)
     query = (
-        rows.select("review_id", "seq", "place_name", "rating")
-        .writeStream.format("parquet")
-        .option("path", out)
+        rows.writeStream.foreachBatch(lambda b, epoch: streaming.append_epoch(b, out, epoch, ["review_id"], "seq"))
         .option("checkpointLocation", new_path(spark, "stream-ckpt"))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.schema(schema).parquet(out).select("review_id", "seq", "place_name", "rating")
 
 
 @register(
     "r2_stream_upsert",
-    f"""SELECT {uuid5_sql('event_type')} AS place_id, event_type AS name, count(*) AS reviews, round(sum(value), 4) AS rating_sum,
- count(DISTINCT user_id) AS users FROM events GROUP BY event_type""",
+    f"""SELECT 'place' AS kind, {uuid5_sql('event_type')} AS id, event_type AS name, count(*) AS num_reviews,
+ round(avg(value), 6) AS avg_rating, count(DISTINCT event_id) AS reviews, '' AS list FROM events GROUP BY event_type
+UNION ALL SELECT 'user', {uuid5_sql('user_id::VARCHAR')}, user_id::VARCHAR, count(*), 0.0, count(DISTINCT event_id),
+ md5(string_agg({uuid5_sql('event_id::VARCHAR')}, ',' ORDER BY {uuid5_sql('event_id::VARCHAR')})) FROM events GROUP BY user_id""",
 )
 def r2(spark: SparkSession, sf: str) -> DataFrame:
-    """Places joined with the review table and users the stream built."""
+    """The place and user tables the stream built, with every user's list."""
     path, schema = _store_twice(spark, sf)
     base = new_path(spark, "tables")
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    rows = streaming.stream_reviews(spark, path, schema, files_per_trigger=1)
     streaming.stream_upsert(rows, base, new_path(spark, "stream-ckpt"))
-    from reviewmill import schemas
-
-    place = read_table(spark, f"{base}/place", schemas.PLACE)
-    users = read_table(spark, f"{base}/users", schemas.USERS).select("user_id").distinct()
-    stored = streaming.read_reviews(spark, base).join(users, "user_id")
-    totals = stored.groupBy("place_id").agg(
-        F.count(F.lit(1)).alias("reviews"), F.round(F.sum("rating"), 4).alias("rating_sum"),
-        F.count_distinct("user_id").alias("users"),
+    stored = read_reviews(spark, base)
+    per = stored.groupBy("place_id").agg(F.count_distinct("review_id").alias("reviews"))
+    place = read_table(spark, f"{base}/place", schemas.PLACE).join(per, "place_id").select(
+        F.lit("place").alias("kind"), F.col("place_id").alias("id"), "name", "num_reviews", "avg_rating", "reviews", F.lit("").alias("list")
+    )
+    ids = read_table(spark, f"{base}/users", schemas.USERS).select("user_id", "name", F.explode("reviews").alias("r"))
+    users = ids.groupBy("user_id").agg(
+        F.min("name").alias("name"), F.count("r").alias("num_reviews"), F.count_distinct("r").alias("reviews"),
+        F.md5(F.array_join(F.array_sort(F.collect_list("r")), ",")).alias("list"),
     )
-    return place.select("place_id", "name").join(totals, "place_id")
+    return place.unionByName(users.select(
+        F.lit("user").alias("kind"), F.col("user_id").alias("id"), "name", "num_reviews", F.lit(0.0).alias("avg_rating"), "reviews", "list"
+    ))

@@ -299,8 +299,7 @@ def c13_clean_spelled(spark: SparkSession, sf: str) -> DataFrame:
     """WITH g AS (SELECT doc_id, lang, unnest(list_transform(range(1, length(text) - 1), lambda i: substr(lower(text), i, 3)))
  AS gram FROM documents),
  c AS (SELECT lang, gram, count(*) AS n FROM g GROUP BY ALL),
- m AS (SELECT lang, gram, n / (sum(n) OVER (PARTITION BY lang))::DOUBLE AS weight FROM c
-  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= 400),
+ m AS (SELECT lang, gram, n / (sum(n) OVER (PARTITION BY lang))::DOUBLE AS weight FROM c),
  s AS (SELECT doc_id, m.lang, round(sum(weight), 9) AS s FROM g JOIN m USING (gram) GROUP BY ALL)
  SELECT d.doc_id, coalesce(b.l, '') AS language FROM documents d LEFT JOIN
  (SELECT doc_id, arg_max(lang, (s, lang)) AS l FROM s GROUP BY doc_id) b USING (doc_id)""",

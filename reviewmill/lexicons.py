@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Keywords per business category.  Only three categories ship as
-# a default; a full table is read with ``read_aspects`` and passed in.
+# Keywords per business category; another table is read with
+# ``read_aspects`` and passed in.
 ASPECTS = {
     "restaurant": [
         "food", "menu", "taste", "delicious", "flavor", "fresh", "dish", "cuisine",
@@ -25,6 +25,54 @@ ASPECTS = {
         "view", "nearby", "walking", "facility", "pool", "gym", "elevator", "parking",
         "breakfast", "buffet", "service", "price",
     ],
+    "bar": [
+        "drink", "cocktail", "beer", "wine", "alcohol", "liquor", "menu", "music", "dj",
+        "band", "crowd", "busy", "lively", "price", "happy hour", "service", "bartender",
+        "staff", "ambience", "atmosphere", "vibe", "decor", "lighting",
+    ],
+    "gym": [
+        "equipment", "machine", "weights", "cardio", "clean", "locker", "shower", "hygiene",
+        "trainer", "coach", "staff", "facility", "pool", "sauna", "crowd", "busy", "peak",
+        "price", "membership", "subscription", "class", "workout", "session", "service",
+    ],
+    "supermarket": [
+        "product", "item", "grocery", "stock", "variety", "selection", "inventory", "price",
+        "cheap", "freshness", "produce", "fruit", "vegetable", "meat", "staff", "cashier",
+        "queue", "line", "checkout", "location", "parking", "clean", "aisle",
+    ],
+    "park": [
+        "nature", "tree", "grass", "trail", "path", "clean", "litter", "maintenance",
+        "facility", "bench", "playground", "toilet", "crowd", "quiet", "peaceful",
+        "ambience", "atmosphere", "safety", "security", "lighting", "location", "parking",
+        "view",
+    ],
+    "museum": [
+        "exhibit", "collection", "display", "art", "history", "gallery", "staff", "guide",
+        "info", "facility", "elevator", "cafe", "shop", "crowd", "tourist", "noise", "price",
+        "admission", "ticket", "ambience", "lighting", "atmosphere", "location", "artifact",
+        "admission", "fee",
+    ],
+    "shopping_mall": [
+        "store", "brand", "shop", "boutique", "variety", "selection", "price", "sale",
+        "food court", "facility", "restroom", "elevator", "escalator", "parking", "crowd",
+        "busy", "vibe", "ambience", "decor", "location", "accessible",
+    ],
+    "cinema": [
+        "movie", "film", "screening", "seat", "comfort", "legroom", "sound", "audio",
+        "screen", "visual", "imax", "3d", "price", "ticket", "popcorn", "snack",
+        "concession", "crowd", "facility", "clean", "staff",
+    ],
+    "airport": [
+        "terminal", "gate", "lounge", "facility", "duty free", "shop", "restaurant", "staff",
+        "customs", "immigration", "queue", "wait", "line", "security", "check-in",
+        "location", "transport", "shuttle", "clean", "service", "ambience", "signage",
+    ],
+    "school": [
+        "teacher", "instructor", "faculty", "staff", "admin", "principal", "facility",
+        "classroom", "lab", "library", "playground", "location", "campus", "class",
+        "lesson", "course", "clean", "environment", "ambience", "atmosphere", "service",
+        "school fee", "hall",
+    ],
 }
 
 # Path words tried on every site.

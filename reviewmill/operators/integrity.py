@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,14 +37,13 @@ def check_keys(df: DataFrame, pk: list[str], not_null: list[str]) -> DataFrame:
         .where("rows > 1")
         .select(F.lit("unique").alias("rule"), key.alias("key"), "rows")
     )
-    nulls = [
-        df.where(F.col(c).isNull())
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where("rows > 0")
-        .select(F.lit("not null").alias("rule"), F.lit(c).alias("key"), "rows")
-        for c in not_null
-    ]
-    return reduce(DataFrame.unionByName, [repeated, *nulls])
+    if not not_null:
+        return repeated
+    # one scan for all columns
+    counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"_{i}") for i, c in enumerate(not_null)])
+    each = F.array(*[F.struct(F.lit(c).alias("key"), F.col(f"_{i}").alias("rows")) for i, c in enumerate(not_null)])
+    nulls = counts.select(F.lit("not null").alias("rule"), F.inline(each)).where("rows > 0")
+    return repeated.unionByName(nulls)
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:

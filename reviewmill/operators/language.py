@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# n-grams kept per language; fixes the size of the model.
-PROFILE_SIZE = 400
+from reviewmill.plans.skew import broadcast_if_small
+
 
 
 def char_ngrams(c: Column, n: int = 3) -> Column:
@@ -21,31 +20,29 @@ def gram_counts(df: DataFrame, *keys: str, n: int = 3) -> DataFrame:
     )
 
 
-def language_model(labelled: DataFrame, n: int = 3, size: int = PROFILE_SIZE) -> DataFrame:
-    """(lang, gram, weight): the most frequent n-grams of every language.
+def language_model(labelled: DataFrame, n: int = 3) -> DataFrame:
+    """(lang, gram, weight): the n-grams of every language.
 
     The weight is the gram's share of the language's n-grams.  The counts leave
-    the map side already summed, and ``size`` rows per language are kept.
+    the map side already summed.
     """
     counts = gram_counts(labelled.select("lang", "text"), "lang", n=n)
     totals = counts.groupBy("lang").agg(F.sum("n").alias("_all"))
-    w = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= size)
-    return top.join(totals, "lang").select("lang", "gram", (F.col("n") / F.col("_all")).alias("weight"))
+    return counts.join(totals, "lang").select("lang", "gram", (F.col("n") / F.col("_all")).alias("weight"))
 
 
 def detect_language(df: DataFrame, model: DataFrame) -> DataFrame:
     """(id, language): the language whose profile covers the text best.
 
-    A text's score for a language is the summed weight of its n-grams.  The
-    model has ``size`` rows per language, so it is broadcast and the n-grams
-    are never shuffled; a text without any known n-gram gets ``""``.
+    A text's score for a language is the summed weight of its n-grams.  A small
+    model is broadcast, so the n-grams are never shuffled; with a larger one each
+    text's n-grams are counted first.  A text without any known n-gram gets ``""``.
     """
-    grams = df.select("id", F.explode_outer(char_ngrams(F.col("text"))).alias("gram"))
+    grams = gram_counts(df.select("id", "text"), "id").withColumnRenamed("n", "_times")
     scored = (
-        grams.join(F.broadcast(model), "gram")
+        grams.join(broadcast_if_small(model), "gram")
         .groupBy("id", "lang")
-        .agg(F.round(F.sum("weight"), 9).alias("s"))
+        .agg(F.round(F.sum(F.col("weight") * F.col("_times")), 9).alias("s"))
     )
     best = scored.groupBy("id").agg(F.max_by("lang", F.struct("s", "lang")).alias("language"))
     return df.select("id").join(best, "id", "left").select(

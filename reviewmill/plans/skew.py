@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# A hot-key list never has more rows than this, so it is safe to broadcast; a
-# key that is not on it holds less than 1/HOT_KEYS of the rows.
-HOT_KEYS = 256
 # Rows one salt of a hot key should hold.
 ROWS_PER_SALT = 500_000
 # Largest table, in rows, that is broadcast after counting it.
@@ -39,12 +36,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """(keys, _salts) of the at most HOT_KEYS keys that need splitting."""
+    """(keys, _salts) of all keys that need splitting."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return (
         counts.where(F.col("_n") > rows_per_salt)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(HOT_KEYS)
         .select(*keys, F.ceil(F.col("_n") / rows_per_salt).cast("int").alias("_salts"))
     )
 
@@ -67,7 +62,7 @@ def join_skewed(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)
-    hot = F.broadcast(hot_keys(big.where(_all_set(keys)), keys, rows_per_salt))
+    hot = broadcast_if_small(hot_keys(big.where(_all_set(keys)), keys, rows_per_salt))
     plain = [f.name for f in big.schema if f.dataType.typeName() not in ("map", "variant")]
     spread = F.xxhash64(*plain)
     left = big.join(hot, keys, "left").withColumn(

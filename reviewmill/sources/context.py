@@ -22,19 +22,22 @@ def render_site(base_url, pages_text, combined):
 
 
 def write_context_texts(df: DataFrame, path: str) -> None:
-    """Write (slug, base_url, pages_scraped, combined_text) as text files."""
+    """Write (slug, base_url, pages_scraped, combined_text) as text files; a slug written before is replaced."""
     body = render_site(
         F.col("base_url"), F.array_join("pages_scraped", ", "), F.col("combined_text")
     )
-    df.select("slug", body.alias("value")).write.mode("append").partitionBy("slug").text(path)
+    df.select("slug", body.alias("value")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("slug").text(path)
 
 
 def write_articles(df: DataFrame, path: str, query: str = "query", text: str = "text") -> None:
-    """Write each non-blank article text under the slug of its query."""
+    """Write each non-blank article text under the slug of its query, in place of an older one."""
     (
         df.where(nonblank(text))
         .select(slug(query).alias("slug"), F.col(text).alias("value"))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("slug")
         .text(path)
     )

@@ -1,7 +1,8 @@
 """Idempotent table writes on plain Parquet.
 
 Every write makes a new version folder and the newest complete version is the
-table, so a job that dies half way leaves the table as it was.
+table, so a job that dies half way leaves the table as it was.  A version of a
+table in ``GROWING`` holds new rows only; that table is all its versions.
 """
 
 from __future__ import annotations
@@ -9,8 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill import schemas
 from reviewmill.operators.ingest import first_per_key
 
+GROWING = {"review"}
+
 
 def upsert(
     target: DataFrame,
@@ -45,10 +49,22 @@ def upsert(
     return marked_t.join(marked_b, match, "full").select(*out)
 
 
+def new_rows(target: DataFrame, batch: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The first batch row of every key the target lacks, in the target's columns."""
+    fresh = first_per_key(batch, keys, order).select(*target.columns)
+    return fresh.join(target.select(*keys), keys, "left_anti").select(*target.columns)
+
+
+def replace_lists(old: DataFrame, batch: DataFrame) -> DataFrame:
+    """Users of ``batch`` with all their parts in place of all their old ones; a known user keeps the name."""
+    names = old.groupBy("user_id").agg(F.min_by("name", "part").alias("_name"))
+    new = batch.join(names, "user_id", "left").withColumn("name", F.coalesce("_name", "name")).select(*old.columns)
+    return old.join(batch.select("user_id").distinct(), "user_id", "left_anti").select(*old.columns).unionByName(new)
+
+
 def insert_new(target: DataFrame, batch: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Target plus the first batch row of every key the target lacks."""
-    fresh = first_per_key(batch, keys, order).select(*target.columns)
-    return target.unionByName(fresh.join(target.select(*keys), keys, "left_anti").select(*target.columns))
+    return target.unionByName(new_rows(target, batch, keys, order))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -73,13 +89,23 @@ def latest_version(spark: SparkSession, path: str) -> int:
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The newest version of a table, empty when it does not exist yet."""
+    """The newest version of a table (a growing one: all of them), empty when it does not exist yet."""
     version = latest_version(spark, path)
     if version < 0:
         return spark.createDataFrame([], schema)
+    if path.rstrip("/").rsplit("/", 1)[-1] in GROWING:
+        return spark.read.schema(f"{schema}, v int").parquet(path).drop("v")
     return spark.read.schema(schema).parquet(f"{path}/v={version}")
 
 
+def read_reviews(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
+    """The review table, or its rows of versions under ``before``."""
+    if before is None or latest_version(spark, f"{base}/review") < 0:
+        return read_table(spark, f"{base}/review", schemas.REVIEW)
+    rows = spark.read.schema(f"{schemas.REVIEW}, v int").parquet(f"{base}/review")
+    return rows.where(F.col("v") < before).drop("v")
+
+
 def write_version(df: DataFrame, path: str, version: int | None = None) -> int:
     """Write the next version (or the given one, again if it was cut short)."""
     if version is None:

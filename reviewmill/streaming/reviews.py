@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill import schemas
 from reviewmill.operators.ingest import build_users, first_per_key
-from reviewmill.sources.tables import latest_version, upsert, write_version
+from reviewmill.plans.storage import cut
+from reviewmill.sources.tables import latest_version, read_reviews, write_version
 
 
 def stream_reviews(
@@ -15,82 +18,97 @@ def stream_reviews(
     path: str,
     schema: str,
     ts: str = "timestamp",
-    key: str = "review_id",
-    delay: str = "7 days",
     glob: str | None = None,
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """New rows of a folder of Parquet files, repeated keys dropped.
+    """New rows of a folder of Parquet files.
 
-    ``delay`` is how far apart in event time two copies may arrive; the keys of
-    that span are the state.  Rows older than the span count as late.
+    Review dates say nothing about arrival, so no row is late; repeated keys go
+    when an epoch is stored (``append_epoch``, ``upsert_epoch``).
     """
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    rows = reader.parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
-    return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    return reader.parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
+
+
+def append_epoch(batch: DataFrame, path: str, epoch: int, keys: list[str], seq: str) -> None:
+    """Store the first row of every key that no earlier epoch stored; a rerun replaces its own rows."""
+    fresh = first_per_key(batch, keys, seq)
+    if latest_version(batch.sparkSession, path) >= 0:
+        stored = batch.sparkSession.read.schema(fresh.select(*keys).schema.add("v", "int")).parquet(path)
+        fresh = fresh.join(stored.where(F.col("v") < epoch).select(*keys), keys, "left_anti")
+    write_version(fresh.select(*batch.columns), path, epoch)
 
 
-def read_reviews(spark: SparkSession, base: str) -> DataFrame:
-    """The review table: every epoch's new rows."""
-    if latest_version(spark, f"{base}/review") < 0:
-        return spark.createDataFrame([], schemas.REVIEW)
-    return spark.read.schema(schemas.REVIEW).parquet(f"{base}/review").drop("v")
+def _version(spark: SparkSession, base: str, stream: str, epoch: int) -> int:
+    """The table version of an epoch: the next one, noted before it is written and found again on a rerun."""
+    path = f"{base}/epochs/{stream}/v={epoch}"
+    if latest_version(spark, f"{base}/epochs/{stream}") >= epoch:
+        return spark.read.schema("version int").parquet(path).first()["version"]
+    version = 1 + max(latest_version(spark, f"{base}/{t}") for t in ("place", "users", "review"))
+    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("overwrite").parquet(path)
+    return version
 
 
-def _table_before(spark: SparkSession, path: str, epoch: int, schema: str) -> DataFrame:
-    version = latest_version(spark, path)
+def _table_before(spark: SparkSession, path: str, version: int, schema: str) -> DataFrame:
     # an epoch that runs again must not read its own first attempt
-    version = min(version, epoch - 1)
+    version = min(latest_version(spark, path), version - 1)
     if version < 0:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{path}/v={version}")
 
 
-def upsert_epoch(batch: DataFrame, base: str, epoch: int, seq: str = "seq") -> None:
+def upsert_epoch(batch: DataFrame, base: str, epoch: int, seq: str = "seq", stream: str = "default") -> None:
     """Apply one micro-batch to the place, users and review tables.
 
-    ``batch`` has the review columns, ``place_name`` and the order column.
-    Everything is written under the epoch's number, so an epoch that is run
-    again after a failure replaces its own output and nothing else.  Reviews
-    are append only: an epoch writes just its new rows.
+    ``batch`` has the review columns, ``place_name`` and the order column.  Only
+    reviews the store lacks count: their ratings join the place's mean and
+    number, and their ids follow the user's list as further parts.  A batch load
+    and the epochs of any ``stream`` take version numbers in turn, and an epoch
+    that is run again after a failure replaces its own output and nothing else.
     """
     spark = batch.sparkSession
-    batch.persist()
-    places = batch.groupBy("place_id").agg(
-        F.min_by("place_name", seq).alias("name"),
-        F.avg("rating").alias("avg_rating"),
-        F.count(F.lit(1)).cast("int").alias("num_reviews"),
-    ).select(
-        "place_id", "name", F.lit("").alias("category"), F.lit("").alias("address"),
-        F.lit("").alias("url"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lng"),
-        "avg_rating", "num_reviews",
+    version = _version(spark, base, stream, epoch)
+    stored = read_reviews(spark, base, version).select("review_id")
+    fresh = cut(first_per_key(batch, ["review_id"], seq).join(stored, "review_id", "left_anti"), "fresh")
+
+    old = _table_before(spark, f"{base}/place", version, schemas.PLACE)
+    new = fresh.groupBy("place_id").agg(
+        F.min_by("place_name", seq).alias("_name"), F.sum("rating").alias("_sum"),
+        F.count("rating").alias("_rated"), F.count(F.lit(1)).cast("int").alias("_n"),
     )
-    old = _table_before(spark, f"{base}/place", epoch, schemas.PLACE)
-    write_version(upsert(old, places, ["place_id"], ["avg_rating", "num_reviews"]), f"{base}/place", epoch)
-
-    old = _table_before(spark, f"{base}/users", epoch, schemas.USERS)
-    users = build_users(batch, seq)
-    write_version(upsert(old, users, ["user_id", "part"], ["reviews"]), f"{base}/users", epoch)
-
-    fresh = first_per_key(batch, ["review_id"], seq)
-    if latest_version(spark, f"{base}/review") >= 0:
-        seen = spark.read.schema(schemas.REVIEW + ", v int").parquet(f"{base}/review")
-        seen = seen.where(F.col("v") < epoch).select("review_id")
-        fresh = fresh.join(seen, "review_id", "left_anti")
+    count = F.coalesce("num_reviews", F.lit(0))
+    total = F.coalesce(F.col("avg_rating") * count, F.lit(0.0)) + F.coalesce("_sum", F.lit(0.0))
+    rated = count + F.coalesce("_rated", F.lit(0))
+    empty = {"name": F.col("_name"), "category": F.lit(""), "address": F.lit(""), "url": F.lit(""), "lat": F.lit(0.0), "lng": F.lit(0.0)}
+    known = old.withColumn("_old", F.lit(True)).join(new, "place_id", "full")
+    values = {c: F.when(F.col("_old"), F.col(c)).otherwise(v) for c, v in empty.items()}
+    values["avg_rating"] = F.when(F.col("_n").isNull(), F.col("avg_rating")).otherwise(total / F.nullif(rated, F.lit(0)))
+    values["num_reviews"] = count + F.coalesce("_n", F.lit(0))
+    place = known.select(*[values[c].alias(c) if c in values else F.col(c) for c in old.columns])
+    write_version(place, f"{base}/place", version)
+
+    old = _table_before(spark, f"{base}/users", version, schemas.USERS)
+    last = old.groupBy("user_id").agg(F.max("part").alias("_part"), F.min_by("name", "part").alias("_name"))
+    users = build_users(fresh, seq).join(last, "user_id", "left").withColumns({
+        "part": (F.col("part") + F.coalesce(F.col("_part") + 1, F.lit(0))).cast("int"), "name": F.coalesce("_name", "name"),
+    })
+    write_version(old.unionByName(users.select(*old.columns)), f"{base}/users", version)
+
     columns = [c.split()[0] for c in schemas.REVIEW.split(", ")]
-    write_version(fresh.select(*columns), f"{base}/review", epoch)
-    batch.unpersist()
+    write_version(fresh.select(*columns), f"{base}/review", version)
 
 
 def stream_upsert(df: DataFrame, base: str, checkpoint: str, seq: str = "seq"):
     """Run the stream over everything available and return the finished query."""
 
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
     def apply(batch: DataFrame, epoch: int) -> None:
-        upsert_epoch(batch, base, epoch, seq)
+        upsert_epoch(batch, base, epoch, seq, stream)
 
     query = (
         df.writeStream.foreachBatch(apply)

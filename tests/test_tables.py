@@ -130,9 +130,29 @@ def test_stream_equals_batch(spark, tmp_path):
         streaming.stream_upsert(stream, base, ckpt)
     assert rows_of(streaming.read_reviews(spark, base).select("review_id")) == [(f"r{i}",) for i in range(9)]
     place = {r.name: r.num_reviews for r in tables.read_table(spark, f"{base}/place", schemas.PLACE).collect()}
-    assert place == {"Place 0": 3, "Place 1": 2}  # the last batch's own counts
-    streaming.upsert_epoch(spark.createDataFrame(rows[4:], schema), base, 1)
-    assert streaming.read_reviews(spark, base).count() == 9
+    assert place == {"Place 0": 5, "Place 1": 4}
+    users = tables.read_table(spark, f"{base}/users", schemas.USERS).orderBy("user_id", "part").collect()
+    assert [x for r in users if r.user_id == "u0" for x in r.reviews] == ["r0", "r3", "r6"]
+    old = [("r0", "p0", "u0", "User 0", 9.0, "t", "", datetime(2019, 1, 1), "Place 0", 0), ("r90", "p0", "u0", "User 0", 8.0, "t", "", datetime(2019, 1, 1), "Place 0", 90)]
+    for _ in range(2):  # an epoch run again, with a review known before and one years older
+        streaming.upsert_epoch(spark.createDataFrame(old, schema), base, 7, stream="late")
+        assert streaming.read_reviews(spark, base).count() == 10
+        row = tables.read_table(spark, f"{base}/place", schemas.PLACE).where("place_id = 'p0'").first()
+        assert (row.num_reviews, row.avg_rating) == (6, pytest.approx(28 / 6))
+
+
+def test_batch_then_stream_and_shrinking_lists(spark, tmp_path):
+    base = str(tmp_path / "both")
+    tables.write_version(spark.createDataFrame([("r1", "p", "u", "U", 1.0, "t", "", datetime(2020, 1, 1))], schemas.REVIEW), f"{base}/review")
+    tables.write_version(spark.createDataFrame([("p", "P", "", "", "", 0.0, 0.0, 1.0, 1)], "place_id string, name string, category string, address string, url string, lat double, lng double, avg_rating double, num_reviews int").select(*spark.createDataFrame([], schemas.PLACE).columns), f"{base}/place")
+    new = [("r2", "p", "u", "U", 3.0, "t", "", datetime(2018, 1, 1), "P", 1)]
+    streaming.upsert_epoch(spark.createDataFrame(new, schemas.REVIEW + ", place_name string, seq bigint"), base, 0)
+    assert rows_of(streaming.read_reviews(spark, base).select("review_id")) == [("r1",), ("r2",)]
+    row = tables.read_table(spark, f"{base}/place", schemas.PLACE).first()
+    assert (row.num_reviews, row.avg_rating) == (2, 2.0)
+    users = spark.createDataFrame([("u", "U", 0, ["a", "b"]), ("u", "U", 1, ["c"]), ("w", "W", 0, ["d"])], "user_id string, name string, part int, reviews array<string>")
+    got = tables.replace_lists(users, users.where("part = 0 and user_id = 'u'").withColumn("reviews", F.array(F.lit("z"))))
+    assert rows_of(got.select("user_id", "part", "reviews")) == [("u", 0, ["z"]), ("w", 0, ["d"])]
 
 
 def test_cosine_topk_equals_brute_force(spark):
@@ -161,7 +181,9 @@ def test_context_files_and_chunks(spark, tmp_path):
     assert [(r.part, len(r.pages_scraped)) for r in got.orderBy("part").collect()] == [(0, 2), (1, 1)]
     out = str(tmp_path / "ctx")
     files.write_context_texts(got.withColumn("slug", F.concat(F.lit("a_"), "part")), out)
+    files.write_context_texts(got.withColumn("slug", F.concat(F.lit("a_"), "part")), out)  # a second run replaces
     back = files.read_context_texts(spark, out).collect()
+    assert len(back) == 3
     assert {(r.base_url, r.page_url) for r in back} == {("https://a.b/", f"https://a.b/{p}") for p in ("", "about", "menu")}
     assert all(r.text == long.strip() for r in back)
     doc = spark.createDataFrame(
@@ -177,7 +199,11 @@ def test_context_files_and_chunks(spark, tmp_path):
 
 def test_feature_columns(spark):
     df = spark.createDataFrame([(1, "good good soup ran"), (2, "")], "id bigint, text string")
-    pos = spark.createDataFrame([("soup", "NN"), ("ran", "VBD")], "word string, pos string")
+    tags = "word string, pos string"
+    twice = spark.createDataFrame([("soup", "NN"), ("soup", "VB"), ("good", "JJ")], tags)
+    two = features.token_features(spark.createDataFrame([(1, "book soup")], "id bigint, text string"), lexicons.polarity(spark), twice).first()
+    assert (two.entropy_score, two.pos_diversity, two.noun_verb_ratio) == (1.0, 2.0, 1.0)
+    pos = spark.createDataFrame([("soup", "NN"), ("ran", "VBD")], tags)
     got = {r.id: r for r in features.token_features(df, lexicons.polarity(spark), pos).collect()}
     assert got[1].entropy_score == pytest.approx(1.5) and got[1].sentiment_polarity == pytest.approx(0.7)
     assert (got[1].pos_diversity, got[1].noun_verb_ratio) == (1.0, 1.0)
@@ -193,4 +219,27 @@ def test_best_article(spark):
     docs = [(i, "common " + " ".join(f"w{i}_{j}" for j in range(3))) for i in range(20)]
     q = spark.createDataFrame([(1, "common w7_1 w7_2 w3_0"), (2, "common")], "query_id bigint, text string")
     got = context.best_article(q, spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
-    assert [(r.query_id, r.doc_id) for r in got] == [(1, 7)]
+    assert sorted((r.query_id, r.doc_id, r.score > 0) for r in got) == [(1, 7, True), (2, 0, False)]
+
+
+def test_lexicon_of_any_size_and_deep_taxonomy(spark):
+    from reviewmill.operators import aspects, cluster
+
+    df = spark.createDataFrame([("s", 1, "w7 is c++ like, w2999 w7", "big"), ("s", 2, "w7", "none"), ("s", 3, None, "big")], "scope string, id bigint, text string, category string")
+    words = [("big", f"w{i}") for i in range(3000)] + [("big", "c++")]
+    lexicon = spark.createDataFrame(words, "category string, keyword string")
+    large = {r.id: r.score for r in aspects.aspect_score(df, lexicon).collect()}
+    small = {r.id: r.score for r in aspects.aspect_score(df, lexicon.where("keyword in ('w7', 'w2999', 'c++')")).collect()}
+    assert large[1] == small[1] and large[2] == small[2] == pytest.approx(0.1) and large[1] >= 3.5
+    chain = spark.createDataFrame([(f"t{i}", f"t{i + 1}") for i in range(40)], "term string, parent string")
+    assert cluster.hypernym_closure(chain).count() == 41 * 42 // 2
+
+
+def test_row_order_follows_file_names(spark, tmp_path):
+    from reviewmill.schemas import SCRAPED_REVIEW
+
+    n = len(spark.createDataFrame([], SCRAPED_REVIEW).columns)
+    for name, rows in (("a", ["x1", "x2"]), ("b", ["y" + "z" * 3000, "y2"])):
+        (tmp_path / f"{name}.csv").write_text("\n".join([",".join(["h"] * n)] + [r + "," * (n - 1) for r in rows]) + "\n")
+    got = flows.read_scraped_with_order(spark, str(tmp_path)).orderBy("seq").collect()
+    assert [r[0][:2] for r in got] == ["x1", "x2", "yz", "y2"]

@@ -81,13 +81,13 @@ def test_page_text(spark):
 
 def test_spelling(spark):
     vocab = spark.createDataFrame(
-        [("sentence", 9), ("spelling", 5), ("errors", 4), ("this", 50), ("has", 20), ("thus", 1)], "word string, freq bigint"
+        [("harbour", 9), ("ferry", 5), ("lantern", 4), ("from", 50), ("the", 20), ("form", 1)], "word string, freq bigint"
     )
     rows = spark.createDataFrame(
-        [(1, "Ths sentnce has speling (erorrs)! 42 q"), (2, None), (3, "?? [x]"), (4, "wxyz")], "id bigint, text string"
+        [(1, "Te harbor ferrry frm (lantren)! 42 q"), (2, None), (3, "?? [x]"), (4, "wxyz")], "id bigint, text string"
     )
     got = {r.id: r.clean_text for r in clean(rows, "text", vocab).collect()}
-    assert got == {1: "this sentence has spelling (errors)! 42 q", 2: "", 3: "[x]", 4: "wxyz"}
+    assert got == {1: "the harbour ferry from (lantern)! 42 q", 2: "", 3: "[x]", 4: "wxyz"}
 
 
 def test_edit_distance_equals_brute_force(spark):
