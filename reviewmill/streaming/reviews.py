@@ -38,7 +38,7 @@ def append_epoch(batch: DataFrame, path: str, epoch: int, keys: list[str], seq:
     """Store the first row of every key that no earlier epoch stored; a rerun replaces its own rows."""
     fresh = first_per_key(batch, keys, seq)
     if latest_version(batch.sparkSession, path) >= 0:
-        stored = batch.sparkSession.read.schema(fresh.select(*keys).schema.add("v", "int")).parquet(path)
+        stored = batch.sparkSession.read.schema(fresh.select(*keys).schema.add("v", "integer")).parquet(path)
         fresh = fresh.join(stored.where(F.col("v") < epoch).select(*keys), keys, "left_anti")
     write_version(fresh.select(*batch.columns), path, epoch)
 
