@@ -39,4 +39,14 @@ def cut(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and continue from the written table."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``cut`` wrote, once all that was made of them is written as well."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
