@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, hnsw, mixing, outliers, secret_scan, sharding, simhash, subword, suffixes, toxicity
+from reviewmill.llm import bpe, hnsw, mixing, outliers, queries_groups, secret_scan, sharding, simhash, subword, suffixes, toxicity
 from reviewmill.llm.common import read
 from reviewmill.plans.storage import cut
 
@@ -98,8 +98,8 @@ def op10_secrets_markov(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and name[2].isdigit()}
-SQL: dict[str, str] = {}
+QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and name[2].isdigit()} | queries_groups.QUERIES
+SQL: dict[str, str] = dict(queries_groups.SQL)
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -119,7 +119,10 @@ fill as (
         coalesce(sum(2.0 * source_size) over (order by 2.0 * source_size / w, source rows between unbounded preceding and 1 preceding), 0) as held,
         sum(w) over (order by 2.0 * source_size / w, source rows between current row and unbounded following) as open
     from src, total
-), level as (select min((budget - held) / open) filter ((budget - held) / open <= 2.0 * source_size / w) as level from fill),
+), level as (
+    select arg_min((budget - held) / open, 2.0 * source_size / w) filter ((budget - held) / open <= 2.0 * source_size / w) as level
+    from fill
+),
 goal as (
     select source, source_size, least(2.0 * source_size, level * w)::double as target from src, level
 ), parts as (
