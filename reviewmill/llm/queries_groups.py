@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import ns_kmeans
+from reviewmill.llm import gram_index, ns_kmeans
 from reviewmill.llm.common import read
 
 
+def op12_spelling_gram_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Spelling forms of all words of the documents; null and empty texts have none, repeated rows count each."""
+    words = gram_index.occurrences(read(spark, sf, "documents"), "doc_id", "text")
+    return gram_index.variants(gram_index.counted(words))
+
+
 def op13_centroid_ns_bounds(spark: SparkSession, sf: str) -> DataFrame:
     """40 clusters of the embeddings as integers, 5 rounds; equal vectors are equal rows, an empty table gives none."""
     found, centroids = ns_kmeans.cluster(ns_kmeans.points(read(spark, sf, "embeddings"), "vec_id", "embedding"))
@@ -54,5 +60,46 @@ def _op13_sql(k: int = 40, rounds: int = 5) -> str:
     from a{rounds} join c{rounds} using (c)"""
 
 
+_LETTERS = "A-Za-z\u00C0-\u00FF"
+
+# crc32 by its table of 256 entries, over the UTF-8 bytes of code points up to 255
+_OP12_SQL = f"""
+with recursive crc as (
+    select list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t
+), runs as (
+    select doc_id, run, count(*) as times from (
+        select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[{_LETTERS}]+')) as run from documents
+    ) where length(run) >= 5 group by doc_id, run
+), hashed as (
+    select run, times, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+        string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+        lambda c: case when unicode(c) < 128 then [unicode(c)::bigint] else [192 + unicode(c)::bigint // 64, 128 + unicode(c)::bigint % 64] end))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as h
+    from runs, crc
+), voc as (
+    select word, sum(times)::bigint as n from (
+        select case when h % 97 = 0 then run[: h % length(run)] || run[h % length(run) + 2 :] else run end as word, times from hashed
+    ) where length(word) >= 5 group by word having sum(times) >= 3
+), del as (
+    select word, n, i, word[: i - 1] || word[i + 1 :] as d from (select word, n, unnest(range(1, length(word) + 1)) as i from voc)
+), near as (
+    select a.word, a.n, b.word as other, b.n as other_n from del a join del b on a.i = b.i and a.d = b.d and a.word <> b.word
+    union select a.word, a.n, b.word, b.n from del a join voc b on a.d = b.word
+    union select b.word, b.n, a.word, a.n from del a join voc b on a.d = b.word
+), best as (
+    select word, count(*) as n_near, first(other order by other_n desc, other) as other, max(other_n) as other_n from near group by word
+), forms as (
+    select v.word, v.n, coalesce(n_near, 0)::bigint as n_near, case when other_n >= 2 * v.n then other end as form,
+        case when other_n >= 2 * v.n then other_n end as form_n
+    from voc v left join best using (word)
+), chain as (
+    select word, word as here, 0 as step from forms
+    union all select c.word, f.form, step + 1 from chain c join forms f on c.here = f.word where f.form is not null
+)
+select f.word, f.form, c.root, f.n, f.n_near, f.form_n from forms f
+join (select word, arg_max(here, step) as root from chain group by word) c using (word)"""
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and name[2].isdigit()}
-SQL = {"op13_centroid_ns_bounds": _op13_sql()}
+SQL = {"op12_spelling_gram_index": _OP12_SQL, "op13_centroid_ns_bounds": _op13_sql()}
