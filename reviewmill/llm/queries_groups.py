@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import gram_index, ns_kmeans
+from reviewmill.llm import collisions, gram_index, ns_kmeans
 from reviewmill.llm.common import read
 
 
+def op11_near_vectors_collisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Links, components and representatives of the embeddings; unusable vectors stand alone, an empty table gives none."""
+    return collisions.near_vectors(read(spark, sf, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op12_spelling_gram_index(spark: SparkSession, sf: str) -> DataFrame:
     """Spelling forms of all words of the documents; null and empty texts have none, repeated rows count each."""
     words = gram_index.occurrences(read(spark, sf, "documents"), "doc_id", "text")
@@ -60,6 +65,23 @@ def _op13_sql(k: int = 40, rounds: int = 5) -> str:
     from a{rounds} join c{rounds} using (c)"""
 
 
+_OP11_SQL = """
+with recursive v as (
+    select vec_id, label, embedding::double[] as x from embeddings
+    where label is not null and embedding is not null
+        and len(list_filter(embedding::double[], lambda e: e is null or not isfinite(e))) = 0
+        and len(list_filter(embedding::double[], lambda e: e <> 0)) > 0
+), w as (select vec_id, label, list_transform(x, lambda e: e / sqrt(list_inner_product(x, x))) as x from v),
+near as (
+    select a.vec_id as a, b.vec_id as b from w a join w b on a.label = b.label and a.vec_id <> b.vec_id and len(a.x) = len(b.x)
+    where list_inner_product(a.x, b.x) >= 0.98
+), walk as (
+    select vec_id as node, vec_id as seen from embeddings
+    union select walk.node, near.b from walk join near on walk.seen = near.a
+), part as (select node, min(seen) as component_id from walk group by node)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from embeddings left join (select a, count(*) as n from near group by a) on a = vec_id join part on node = vec_id"""
+
 _LETTERS = "A-Za-z\u00C0-\u00FF"
 
 # crc32 by its table of 256 entries, over the UTF-8 bytes of code points up to 255
@@ -102,4 +124,4 @@ select f.word, f.form, c.root, f.n, f.n_near, f.form_n from forms f
 join (select word, arg_max(here, step) as root from chain group by word) c using (word)"""
 
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and name[2].isdigit()}
-SQL = {"op12_spelling_gram_index": _OP12_SQL, "op13_centroid_ns_bounds": _op13_sql()}
+SQL = {"op11_near_vectors_collisions": _OP11_SQL, "op12_spelling_gram_index": _OP12_SQL, "op13_centroid_ns_bounds": _op13_sql()}
