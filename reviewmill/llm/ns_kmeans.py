@@ -36,7 +36,7 @@ def first_centroids(rows: DataFrame, k: int, seed: int = 2) -> np.ndarray:
     """The ``k`` rows of smallest sha256 of ``seed:id`` in that order, ties by components; at most k rows are read back."""
     mark = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256)
     best = rows.select(mark.alias("mark"), "x").orderBy("mark", "x").limit(k).collect()
-    return np.array([r["x"] for r in best], np.int64).reshape(len(best), -1)
+    return np.array([r["x"] for r in best], np.int64) if best else np.zeros((0, 0), np.int64)
 
 
 def squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
