@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bounds of the memo tables of one Python worker; a full table is emptied and filled anew.
+# Bounds of the memo tables of one Python worker.  Full tables of states and pairs are emptied and filled anew,
+# of the pieces those used since the table before was full stay.
 MAX_STATES = 100_000
-MAX_PAIRS = 500_000
-MAX_PIECES = 400_000
+MAX_PAIRS = 300_000
+MAX_PIECES = 200_000
+# Bytes of results sent on at a time.
+BATCH = 4 << 20
 
 
 def parse_ranks(raw: bytes) -> dict[bytes, int]:
@@ -39,28 +46,31 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.children: list[dict[int, int]] = [{}]
-        self.token: list[int] = [-1]
+        self.child: dict[int, int] = {}  # 256 * node + byte -> node
+        self.token = array("i", [-1])
         for word, rank in ranks.items():
             node = 0
             for byte in word:
-                step = self.children[node].get(byte)
+                step = self.child.get(node << 8 | byte)
                 if step is None:
-                    step = self.children[node][byte] = len(self.children)
-                    self.children.append({})
+                    step = self.child[node << 8 | byte] = len(self.token)
                     self.token.append(-1)
                 node = step
             self.token[node] = rank
+        self.inner = bytearray(len(self.token))
+        for at in self.child:
+            self.inner[at >> 8] = 1
         self.splits: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # a token and the one before it, in one number
         self._reset()
 
-    def _reset(self) -> None:
-        start = ((-1, 0, ()),)
-        self.state_id = {start: 0}
-        self.states = [start]
+    def _reset(self, state: tuple = ((-1, 0, ()),)) -> int:
+        """Empty the state tables but for the start and ``state``, whose new number is returned."""
+        self.states = list(dict.fromkeys((((-1, 0, ()),), state)))
+        self.state_id = {s: i for i, s in enumerate(self.states)}
         self.steps: dict[int, int] = {}  # 256 * state + byte -> next state
         self.emits: dict[int, tuple[int, ...]] = {}
+        return len(self.states) - 1
 
     def merge(self, word: bytes, least: int = 1) -> list[int]:
         """The definition: merge the neighbours of lowest rank, leftmost first, until none (or ``least``) is left."""
@@ -103,24 +113,28 @@ class Transducer:
             else:
                 return True
 
+    def _follows(self, last: int, token: int) -> bool:
+        pair = (last + 1) << 32 | token
+        good = self.pairs.get(pair)
+        if good is None:
+            if len(self.pairs) >= MAX_PAIRS:
+                self.pairs.clear()
+            good = self.pairs[pair] = self.fits(-1, token) and self.fits(last, token)
+        return good
+
     def _step(self, state: int, byte: int) -> int:
-        after = []
+        after, met = [], False
+        child_of, inner, token_of = self.child.get, self.inner, self.token
         for last, node, owed in self.states[state]:
-            child = self.children[node].get(byte)
+            child = child_of(node << 8 | byte)
             if child is None:
                 continue
-            if self.children[child]:
+            if inner[child]:
                 after.append((last, child, owed))
-            token = self.token[child]
-            if token >= 0:
-                pair = (last, token)
-                fits = self.pairs.get(pair)
-                if fits is None:
-                    if len(self.pairs) >= MAX_PAIRS:
-                        self.pairs.clear()
-                    fits = self.pairs[pair] = self.fits(-1, token) and self.fits(last, token)
-                if fits:
-                    after.append((token, 0, (*owed, token)))
+            # a text has one encoding, so one hypothesis at most ends a token here
+            if not met and (token := token_of[child]) >= 0 and self._follows(last, token):
+                met = True
+                after.append((token, 0, (*owed, token)))
         if not after:
             raise ValueError(f"no token for byte {byte}")
         # hypotheses stay in the order of their last boundary, so equal sets are equal tuples
@@ -144,17 +158,18 @@ class Transducer:
         return to
 
     def encode(self, piece: bytes) -> list[int]:
-        """Token ids of one piece; time grows with its length only."""
+        """Token ids of one piece; time grows with its length, memory with its tokens only."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > MAX_STATES:
-            self._reset()
         state, out, steps, emits = 0, [], self.steps, self.emits
         for byte in piece:
             at = 256 * state + byte
             state = steps.get(at, -1)
             if state < 0:
+                if len(self.states) >= MAX_STATES:
+                    at = 256 * self._reset(self.states[at >> 8]) + byte
+                    steps, emits = self.steps, self.emits
                 state = self._step(at >> 8, byte)
             if at in emits:
                 out.extend(emits[at])
@@ -162,7 +177,7 @@ class Transducer:
             if node == 0:
                 out.extend(owed)
                 return out
-        return out
+        raise ValueError("no sequence of tokens makes the piece")
 
 
 class Pieces(dict):
@@ -171,12 +186,18 @@ class Pieces(dict):
     def __init__(self, machine: Transducer):
         super().__init__()
         self.machine = machine
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MAX_PIECES:
-            self.clear()
-        packed = np.array(self.machine.encode(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+        packed = self.before.get(piece)
+        if packed is None:
+            packed = array("I", self.machine.encode(piece.encode("utf-8", "surrogatepass"))).tobytes()
+            if sys.byteorder == "big":
+                packed = np.frombuffer(packed, ">u4").astype("<u4").tobytes()
         if len(piece) <= 64:
+            if len(self) >= MAX_PIECES:
+                self.before = dict(self)
+                self.clear()
             self[piece] = packed
         return packed
 
@@ -256,24 +277,72 @@ class StreamDecoder:
         return rest.decode("utf-8", "replace")
 
 
-_MADE: dict[str, tuple[Transducer, Pieces, np.ndarray]] = {}
+_MADE: dict[tuple[str, str], object] = {}
 
 
-def machine(raw: bytes) -> tuple[Transducer, Pieces, np.ndarray]:
-    """The worker's machine for a rank file, built once."""
-    key = hashlib.sha256(raw).hexdigest()
+def _made(kind: str, raw: bytes, make):
+    """The worker's ``make(raw)`` for a rank file, built once; one file at a time."""
+    key = (kind, hashlib.sha256(raw).hexdigest())
     if key not in _MADE:
-        _MADE.clear()
-        made = Transducer(parse_ranks(raw))
-        _MADE[key] = (made, Pieces(made), StreamDecoder.flags(made.bytes_of))
+        for old in [k for k in _MADE if k[1] != key[1]]:
+            del _MADE[old]
+        _MADE[key] = make(raw)
     return _MADE[key]
 
 
-def _with(docs: DataFrame, run, fields: list[T.StructField]) -> DataFrame:
-    """``docs`` with new columns computed batch by batch; equal names are replaced."""
+def _encoder(raw: bytes, pattern: str):
+    gc.set_threshold(200_000, 20, 100)  # the memo tables are many small tuples without cycles
+    look = _made("pieces", raw, lambda r: Pieces(Transducer(parse_ranks(r)))).__getitem__
+    find = regex.compile(pattern).findall
+    return lambda text: b"".join(map(look, find(text or "")))
+
+
+def _tables(raw: bytes) -> tuple[dict[int, bytes], np.ndarray]:
+    bytes_of = {i: b for b, i in parse_ranks(raw).items()}
+    return bytes_of, StreamDecoder.flags(bytes_of)
+
+
+def _decoder(raw: bytes, block: int):
+    bytes_of, cut = _made("tables", raw, _tables)
+
+    def text_of(packed: bytes | None) -> str:
+        ids = np.frombuffer(packed or b"", "<u4")
+        stream = StreamDecoder(bytes_of, cut=cut)
+        parts = [stream.feed(ids[i : i + block]) for i in range(0, len(ids), block)]
+        return "".join([*parts, stream.close()])
+
+    return text_of
+
+
+def _with(docs: DataFrame, column: str, make, fields: list[T.StructField]) -> DataFrame:
+    """``docs`` with the columns that ``make()(value)`` gives for ``column``; equal names are replaced.
+
+    Results leave in batches of about BATCH bytes.
+    """
     names = {f.name for f in fields}
-    kept = docs.select(*[f"`{c}`" for c in docs.columns if c not in names])
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *fields]))
+    kept = docs.select(*[f"`{c}`" for c in docs.columns if c not in names], F.col(f"`{column}`").alias("_value"))
+    width = len(kept.columns) - 1
+    kinds = [{"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}[f.dataType.typeName()] for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = make()
+        for b in batches:
+            done, size, out = 0, 0, []
+            for i, value in enumerate(b.column(width)):
+                out.append(row(value.as_py()))
+                size += sum(len(x) for x in out[-1] if not isinstance(x, int))
+                if size >= BATCH or i + 1 == b.num_rows:
+                    part = b.slice(done, len(out))
+                    made = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*part.columns[:width], *made], [*b.schema.names[:width], *(f.name for f in fields)])
+                    done, size, out = i + 1, 0, []
+
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields[:width], *fields]))
+
+
+def _shared(docs: DataFrame, ranks_file: str):
+    with open(ranks_file, "rb") as f:
+        return docs.sparkSession.sparkContext.broadcast(f.read())
 
 
 def encode(docs: DataFrame, text_col: str, ranks_file: str, pattern: str, out: str = "ids") -> DataFrame:
@@ -284,37 +353,36 @@ def encode(docs: DataFrame, text_col: str, ranks_file: str, pattern: str, out: s
     driver; workers keep memo tables of bounded size, so texts and pieces of any
     length run in memory of the text itself.
     """
-    with open(ranks_file, "rb") as f:
-        raw = docs.sparkSession.sparkContext.broadcast(f.read())
+    raw = _shared(docs, ranks_file)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(pattern).findall
-        look = machine(raw.value)[1].__getitem__
-        for b in batches:
-            packed = [b"".join(map(look, find(t.as_py() or ""))) for t in b.column(text_col)]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary())],
-                [*b.schema.names, "n_tokens", out],
-            )
+    def make():
+        code = _encoder(raw.value, pattern)
+        return lambda text: (len(ids := code(text)) // 4, ids)
 
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField(out, T.BinaryType())]
-    return _with(docs, run, fields)
+    return _with(docs, text_col, make, [T.StructField("n_tokens", T.LongType()), T.StructField(out, T.BinaryType())])
 
 
 def decode(docs: DataFrame, ids_col: str, ranks_file: str, out: str = "decoded", block: int = 65_536) -> DataFrame:
     """``docs`` with the text of ``ids_col`` in ``out``, decoded in blocks of tokens; null ids give an empty text."""
-    with open(ranks_file, "rb") as f:
-        raw = docs.sparkSession.sparkContext.broadcast(f.read())
+    raw = _shared(docs, ranks_file)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, _, cut = machine(raw.value)
-        for b in batches:
-            texts = []
-            for packed in b.column(ids_col):
-                ids = np.frombuffer(packed.as_py() or b"", "<u4")
-                stream = StreamDecoder(coder.bytes_of, cut=cut)
-                parts = [stream.feed(ids[i : i + block]) for i in range(0, len(ids), block)]
-                texts.append("".join([*parts, stream.close()]))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, out])
-
-    return _with(docs, run, [T.StructField(out, T.StringType())])
+    def make():
+        text_of = _decoder(raw.value, block)
+        return lambda ids: (text_of(ids),)
+
+    return _with(docs, ids_col, make, [T.StructField(out, T.StringType())])
+
+
+def round_trip(
+    docs: DataFrame, text_col: str, ranks_file: str, pattern: str, out: str = "ids", back: str = "decoded", block: int = 65_536
+) -> DataFrame:
+    """``docs`` with n_tokens, ``out`` and, decoded from it, ``back``: ``encode`` and ``decode`` in one pass of one worker."""
+    raw = _shared(docs, ranks_file)
+
+    def make():
+        code, text_of = _encoder(raw.value, pattern), _decoder(raw.value, block)
+        return lambda text: (len(ids := code(text)) // 4, ids, text_of(ids))
+
+    return _with(docs, text_col, make, [
+        T.StructField("n_tokens", T.LongType()), T.StructField(out, T.BinaryType()), T.StructField(back, T.StringType())
+    ])

@@ -28,10 +28,8 @@ def op1_shard_label_propagation(spark: SparkSession, sf: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers as vocab
 
-    path = vocab.path(VOCABULARY)
-    coded = bpe.encode(read(spark, sf, "documents").select("doc_id", "text"), "text", path, vocab.PATTERN)
-    both = bpe.decode(coded.select("doc_id", "n_tokens", "ids"), "ids", path)
-    return both.select(
+    docs = read(spark, sf, "documents").select("doc_id", F.col("text").alias("decoded"))
+    return bpe.round_trip(docs, "decoded", vocab.path(VOCABULARY), vocab.PATTERN).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
