@@ -9,6 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.plans.skew import broadcast_if_small
 from reviewmill.plans.storage import cut, discard
 
 RUN = "[A-Za-zÀ-ÿ]"
@@ -95,63 +96,74 @@ def affected(grams: list[tuple[int, str]], edits: int = 1) -> int:
 
 
 def _postings(vocab: DataFrame, frequent: dict[str, int]) -> DataFrame:
-    """(word, n, size, element, elements, bound), one row per list that has to be merged for the word.
+    """(word, n, size, gram, place, elements, bound), one row per list that has to be merged for the word.
 
-    Two words at one edit share all but the affected grams of either, so among
-    any ``affected + 1`` grams of each, rarest first in one order for all, there
-    is a common one: only those are listed.  A gram's second occurrence in a
-    word is an element of its own.
+    Two words at one edit share all but the affected grams of either, in one
+    order and at places that differ by the edit at most.  So among any
+    ``affected + 1`` grams of each, rarest first, there is a common one: only
+    those are listed.  ``elements`` are all grams, a second occurrence being an
+    element of its own.
     """
     known = vocab.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = known.value
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.int32()]
+        names = ["word", "n", "size", "gram", "place", "elements", "bound"]
         for b in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[] for _ in kinds]
             for word, n in zip(b.column("word").to_pylist(), b.column("n").to_pylist(), strict=True):
                 grams = decompose(word, often)
                 times: dict[str, int] = {}
-                marks = []
+                elements = set()
                 for _, g in grams:
                     times[g] = times.get(g, 0) + 1
-                    mark = xxhash.xxh64_intdigest(g.encode(), times[g]) - (1 << 63)
-                    marks.append((often.get(g, 0), mark))
+                    elements.add(xxhash.xxh32_intdigest(g.encode(), times[g]) - (1 << 31))
                 reach = affected(grams)
-                marks.sort()
-                elements = [m for _, m in marks]
-                for m in elements[: reach + 1]:
-                    for col, value in zip(out, (word, n, len(word), m, elements, len(grams) - reach), strict=True):
+                rarest = sorted((often.get(g, 0), xxhash.xxh64_intdigest(g.encode()), p) for p, g in grams)[: reach + 1]
+                every = list(elements)
+                # elements of one number count once, so they must not be asked for twice
+                bound = len(every) - reach
+                for _, g, p in rarest:
+                    for col, value in zip(out, (word, n, len(word), g - (1 << 63), p, every, bound), strict=True):
                         col.append(value)
-            kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["word", "n", "size", "element", "elements", "bound"]
-            )
+                if len(out[0]) >= 20_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
+                    out = [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
-    return vocab.select("word", "n").mapInArrow(run, "word string, n long, size int, element long, elements array<long>, bound int")
+    return vocab.select("word", "n").mapInArrow(
+        run, "word string, n long, size int, gram long, place int, elements array<int>, bound int"
+    )
 
 
 def near_pairs(vocab: DataFrame, list_size: int = LIST) -> DataFrame:
     """(a, n_a, b, n_b): every two words of (word, n) that differ by one inserted, deleted or replaced code point, once.
 
-    Lists are split by length, as the two lengths are equal or neighbours.  A
-    list of more than ``list_size`` words is dealt on its first side to several
-    keys, and its second side repeated for each.  Candidates must share as many
-    elements as the larger of their two bounds and are then compared exactly.
+    Lists are split by length and place: words of one length share a gram at one
+    place, a word one longer has it there or one place on.  A list of more than
+    ``list_size`` words is dealt on its first side to several keys, and its
+    second side repeated for each.  Candidates must share as many elements as
+    the larger of their two bounds and are then compared exactly.
     """
     lists = cut(_postings(vocab, frequent_grams(vocab)), "lists")
-    long = lists.groupBy("element", "size").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > list_size)
-    parts = cut(long.select("element", F.col("size").alias("key"), F.ceil(F.col("_n") / list_size).cast("int").alias("parts")), "parts")
+    key = lambda size, place: F.xxhash64("gram", size, place)
+    left = lists.withColumn("key", key(F.col("size"), F.col("place")))
+    long = left.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > list_size)
+    parts = cut(long.select("key", F.ceil(F.col("_n") / list_size).cast("int").alias("parts")), "parts")
+    known = broadcast_if_small(parts)
     count = F.coalesce("parts", F.lit(1))
-    left = lists.withColumn("key", F.col("size")).join(parts, ["element", "key"], "left").select(
-        "element", "key", F.pmod(F.xxhash64("word"), count).cast("int").alias("part"), F.col("word").alias("a"),
+    left = left.join(known, "key", "left").select(
+        "key", F.pmod(F.xxhash64("word"), count).cast("int").alias("part"), F.col("word").alias("a"),
         F.col("n").alias("n_a"), F.col("elements").alias("_ea"), F.col("bound").alias("_ba"),
     )
-    both = lists.withColumn("key", F.explode(F.array(F.col("size"), F.col("size") - 1)))
-    right = both.join(parts, ["element", "key"], "left").select(
-        "element", "key", F.explode(F.sequence(F.lit(0), count - 1)).alias("part"), F.col("word").alias("b"),
-        F.col("n").alias("n_b"), F.col("elements").alias("_eb"), F.col("bound").alias("_bb"), (F.col("size") == F.col("key")).alias("_same"),
+    shorter = F.col("size") - 1
+    keys = [key(F.col("size"), F.col("place")), key(shorter, F.col("place")), key(shorter, F.col("place") - 1)]
+    right = lists.select("*", F.posexplode(F.array(*keys)).alias("_way", "key")).join(known, "key", "left").select(
+        "key", F.explode(F.sequence(F.lit(0), count - 1)).alias("part"), F.col("word").alias("b"), F.col("n").alias("n_b"),
+        F.col("elements").alias("_eb"), F.col("bound").alias("_bb"), (F.col("_way") == 0).alias("_same"),
     )
-    met = left.join(right, ["element", "key", "part"]).where(~F.col("_same") | (F.col("a") < F.col("b")))
+    met = left.join(right, ["key", "part"]).where(~F.col("_same") | (F.col("a") < F.col("b")))
     shared = F.size(F.array_intersect("_ea", "_eb")) >= F.greatest("_ba", "_bb")
     verified = met.where(shared).where(F.levenshtein("a", "b", 1) == 1)
     out = cut(verified.select("a", "n_a", "b", "n_b").distinct(), "near")
