@@ -29,8 +29,9 @@ class Graph:
         n = len(vectors)
         level = np.floor(-np.log(1 - np.random.default_rng(seed).random(n)) / np.log(links)).astype(int)
         self.order = np.argsort(-level, kind="stable")
-        self.data = np.ascontiguousarray(vectors[self.order], np.float32)
-        self.norm = np.einsum("nd,nd->n", self.data, self.data)
+        # centred and in doubles, and distances by differences: near vectors far from zero must not cancel out
+        self.centre = vectors.mean(axis=0) if n else np.zeros(vectors.shape[1])
+        self.data = np.ascontiguousarray(vectors[self.order] - self.centre, float)
         level = level[self.order]
         top = int(level[0]) if n else 0
         self.size = [int((level >= i).sum()) for i in range(top + 1)]
@@ -42,13 +43,15 @@ class Graph:
 
     def _near(self, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Squared distances of each query to its own list of nodes."""
-        return self.norm[ids] - 2 * np.einsum("bkd,bd->bk", self.data[ids], q) + np.einsum("bd,bd->b", q, q)[:, None]
+        gap = self.data[ids]
+        gap -= q[:, None, :]
+        return np.einsum("bkd,bkd->bk", gap, gap)
 
     def _search(self, layer: int, q: np.ndarray, entry: np.ndarray, beam: int, wide: int = 4) -> tuple[np.ndarray, np.ndarray]:
         """(nodes, squared distances), nearest first, -1 where fewer; ``entry``: a node per query."""
         grid = self.flat[layer].reshape(-1, self.width[layer])
         b = len(q)
-        ids, dist = np.full((b, beam), -1, np.int32), np.full((b, beam), np.inf, np.float32)
+        ids, dist = np.full((b, beam), -1, np.int32), np.full((b, beam), np.inf)
         ids[:, 0], dist[:, 0] = entry, self._near(q, entry[:, None])[:, 0]
         open_ = np.zeros((b, beam), bool)
         open_[:, 0] = True
@@ -85,10 +88,11 @@ class Graph:
     def _select(self, ids: np.ndarray, dist: np.ndarray, width: int) -> np.ndarray:
         """Of each row's candidates (nearest first) those nearer to it than to any chosen before; then the nearest rest."""
         data = self.data[np.maximum(ids, 0)]
+        data -= data[:, :1]  # candidates lie close together
         norm = np.einsum("bkd,bkd->bk", data, data)
-        between = norm[:, :, None] + norm[:, None, :] - 2 * np.einsum("bkd,bjd->bkj", data, data)
+        between = norm[:, :, None] + norm[:, None, :] - 2 * data @ data.transpose(0, 2, 1)
         taken = np.zeros(ids.shape, bool)
-        least = np.full(ids.shape, np.inf, np.float32)
+        least = np.full(ids.shape, np.inf)
         count = np.zeros(len(ids), int)
         for k in range(ids.shape[1]):
             ok = (ids[:, k] >= 0) & (dist[:, k] < least[:, k]) & (count < width)
@@ -110,7 +114,9 @@ class Graph:
         while done < n:
             block = np.arange(done, min(n, done + max(1, min(BLOCK, done or 32))))
             q = self.data[block]
-            inner = self.norm[block][None, :] + self.norm[block][:, None] - 2 * q @ q.T
+            near_zero = q - q.mean(axis=0)
+            norm = np.einsum("nd,nd->n", near_zero, near_zero)
+            inner = norm[None, :] + norm[:, None] - 2 * near_zero @ near_zero.T
             np.fill_diagonal(inner, np.inf)
             k = min(self.links, len(block) - 1)
             near = np.argsort(inner, axis=1, kind="stable")[:, :k]
@@ -158,7 +164,7 @@ class Graph:
 
     def search(self, q: np.ndarray, k: int, beam: int) -> np.ndarray:
         """Row numbers of about the ``k`` nearest vectors of each query, -1 where fewer."""
-        q = np.ascontiguousarray(q, np.float32)
+        q = np.ascontiguousarray(q, float) - self.centre
         out = [np.zeros((0, k), np.int64)]
         for low in range(0, len(q), BLOCK):
             part = q[low : low + BLOCK]

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm import grams
 from reviewmill.llm.common import hot_join
-from reviewmill.plans.storage import cut
+from reviewmill.llm.mixing import ranked
+from reviewmill.plans.storage import cut, discard
 
 PREFIX = 8  # words of the first prefix
 GROUP = 4096  # suffixes of a prefix that one tree may hold; beyond it the prefix is lengthened
@@ -134,28 +135,59 @@ def _suffixes(docs: DataFrame, depth: int) -> DataFrame:
     return docs.mapInArrow(run, "key long, id long, pos int, off int, words binary")
 
 
+def shared_words(a: bytes, b: bytes) -> int:
+    """Words that two suffixes have in common from their start; a blank ends every word, the last one too."""
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n))
+    return a.count(b" ", 0, int(differ[0]) if len(differ) else n)
+
+
+def deep_nodes(suffixes: list[bytes], depth: int) -> list[tuple[int, int, int]]:
+    """(words, first, end) of the internal nodes at ``depth`` words or deeper over sorted suffixes.
+
+    The suffix tree is never built: a stack over the common beginnings of
+    neighbours opens a node where they grow and closes it where they shrink.
+    Every node is a maximal repeat to the right, with the suffixes first to
+    end - 1 as its leaves; nodes come after those below them.
+    """
+    nodes, stack = [], []
+    for i in range(1, len(suffixes) + 1):
+        common = shared_words(suffixes[i - 1], suffixes[i]) if i < len(suffixes) else 0
+        start = i - 1
+        while stack and stack[-1][0] > common:
+            words, start = stack.pop()
+            nodes.append((words, start, i))
+        if common >= depth and (not stack or stack[-1][0] < common):
+            stack.append((common, start))
+    return nodes
+
+
 def tree_repeats(group: list[tuple], depth: int) -> list[int]:
     """For each (words, off, id, pos) of a prefix: bits of the windows that start earlier elsewhere.
 
-    The suffixes of the group, cut at ``depth`` words, are sorted; neighbours
-    that agree in all ``depth`` words are the leaves below one deep internal
-    node of the suffix tree, the first of them its earliest occurrence.
+    Windows are equal if their suffixes are leaves below one internal node of
+    ``depth`` words or more.  Of the leaves of every topmost such node all but
+    the earliest are marked.
     """
     masks = [0] * len(group)
-    if len(group) == 1:
+    if len(group) == 1 and group[0][0].count(b" ") < depth:
         return masks
     suffixes = []
     for r, (line, off, i, pos) in enumerate(group):
-        ends = [j for j, c in enumerate(line) if c == 32] + [len(line)]
-        starts = [0] + [e + 1 for e in ends[:-1]]
-        for w in range(len(ends) - depth + 1):
-            suffixes.append((line[starts[w] : ends[w + depth - 1]], i, pos - off + w, r, w))
+        starts = [0] + [j + 1 for j, c in enumerate(line) if c == 32]
+        for w in range(len(starts) - depth + 1):
+            suffixes.append((line[starts[w] :] + b" ", i, pos - off + w, r, w))
     suffixes.sort()
-    node = None
-    for s in suffixes:
-        if s[0] == node:
-            masks[s[3]] |= 1 << s[4]
-        node = s[0]
+    upto = len(suffixes)
+    for _, first, end in reversed(deep_nodes([s[0] for s in suffixes], depth)):
+        if end > upto:  # below a node seen already
+            continue
+        upto = first
+        leaves = suffixes[first:end]
+        early = min(leaves, key=lambda s: s[1:3])
+        for s in leaves:
+            if s is not early:
+                masks[s[3]] |= 1 << s[4]
     return masks
 
 
@@ -194,6 +226,7 @@ def repeated_windows(docs: DataFrame, depth: int = 20) -> DataFrame:
     shared = cut(_suffixes(docs.join(at, "id"), depth).withColumn(
         "ck", F.unhex(F.md5(F.concat("words", F.lit(b" "), F.col("off").cast("string").cast("binary"))))
     ), "suffixes")
+    discard(found, counts)
     firsts = shared.groupBy("key", "ck").agg(
         F.min(F.struct("id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"),
         F.any_value("words").alias("words"), F.any_value("off").alias("off"),
@@ -205,15 +238,29 @@ def repeated_windows(docs: DataFrame, depth: int = 20) -> DataFrame:
         firsts.select("ck", "n", F.col("id").alias("_id"), F.col("pos").alias("_pos"), (F.length("words")).alias("_len"))
         .join(trees, "ck"), "masks",
     )
+    discard(firsts, trees)
     blanks = F.length(F.regexp_replace(F.decode("words", "ISO-8859-1"), "[^ ]+", ""))
     each = shared.select("ck", "id", "pos", "off", (blanks + 2 - depth).alias("_wins"))
     met = hot_join(each, known, "ck", "n")
     is_first = (F.col("id") == F.col("_id")) & (F.col("pos") == F.col("_pos"))
     full = F.expr("shiftleft(1L, _wins) - 1L")
-    return (
+    marks = cut(
         met.withColumn("mask", F.when(is_first, F.col("mask")).otherwise(full)).where("mask <> 0")
-        .groupBy("id").agg(F.collect_set(F.struct((F.col("pos") - F.col("off")).alias("at"), "mask")).alias("starts"))
+        .groupBy("id").agg(F.collect_set(F.struct((F.col("pos") - F.col("off")).alias("at"), "mask")).alias("starts")), "marks"
     )
+    discard(shared, known)
+    return marks
+
+
+def _documents(given: DataFrame) -> DataFrame:
+    """(id, own, text) with an ``id`` per document: the own id, or a number in its order where ids repeat with other texts."""
+    marked = given.withColumn("_tk", F.xxhash64("text"))
+    twice = marked.groupBy("own").agg((F.min("_tk") != F.max("_tk")).alias("twice")).where("twice")
+    if not twice.limit(1).count():
+        return given.withColumn("id", F.col("own"))
+    names = marked.select("own", "_tk").distinct().withColumn("_by", F.struct("own", "_tk"))
+    numbers = ranked(names, "_by").select("own", "_tk", F.col("rank").alias("id"))
+    return cut(marked.join(numbers, ["own", "_tk"]).drop("_tk"), "documents")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 20) -> DataFrame:
@@ -222,12 +269,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``repeats`` lists the maximal removed runs as (start, end) in words, end
     exclusive.  Null texts have no words; texts under ``depth`` words lose
     none.  A null id counts as the smallest.  Rows that repeat an id and text
-    are one document, so neither makes the other lose words; ids should not
-    repeat with different texts (their rows share the marks of the id).
+    are one document, so neither makes the other lose words; rows of one id with
+    different texts are different documents, in the order of a hash of the text.
     """
     least = F.lit(-(1 << 63)).cast("long")
-    named = docs.select(F.coalesce(F.col(id_col).cast("long"), least).alias("id"), F.col(text_col).alias("text"))
-    marks = cut(repeated_windows(named, depth), "marks")
+    given = docs.select(F.coalesce(F.col(id_col).cast("long"), least).alias("own"), F.col(text_col).alias("text"))
+    named = _documents(given)
+    marks = repeated_windows(named.select("id", "text"), depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -258,7 +306,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 ["id", "n_words", "n_removed", "kept", "repeats"],
             )
 
-    out = named.join(marks, "id", "left").select("id", "text", "starts").mapInArrow(
+    out = named.join(marks, "id", "left").select(F.col("own").alias("id"), "text", "starts").mapInArrow(
         run, "id long, n_words long, n_removed long, kept string, repeats array<struct<start:int,end:int>>"
     )
     return out.withColumn("id", F.when(F.col("id") != least, F.col("id")))
