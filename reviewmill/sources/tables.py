@@ -1,19 +1,40 @@
-"""Idempotent table writes on plain Parquet.
-
-Every write makes a new version folder and the newest complete version is the
-table, so a job that dies half way leaves the table as it was.  A version of a
-table in ``GROWING`` holds new rows only; that table is all its versions.
+"""Tables that loads change together, on plain Parquet.
+
+A store is a folder of tables whose rows are dealt to BUCKETS by a hash of
+their key.  A load writes the buckets it changes under its own number,
+``<table>/v=<number>/bucket=<bucket>``, and then one commit record that names,
+per table and bucket, the number to read.  Readers follow the newest record
+only, so a load that dies half way changes nothing; the next one takes the same
+number and overwrites what is left of it.  A table in ``GROWING`` only takes new
+rows: its numbers hold what their loads added, and it is all numbers up to the
+record's.  Loads of one store come one after the other; of two that overlap the
+second fails when it commits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill import schemas
 from reviewmill.operators.ingest import first_per_key
 
-GROWING = {"review"}
+KEYS = {"place": "place_id", "users": "user_id", "review": "review_id"}
+SCHEMAS = {"place": schemas.PLACE, "users": schemas.USERS, "review": schemas.REVIEW}
+GROWING = {"review", "rows"}
+BUCKETS = 64
+
+
+class Snapshot(NamedTuple):
+    """What a commit record says; ``epochs`` holds the last epoch applied per stream."""
+
+    version: int
+    tables: dict[str, list[int]]
+    epochs: dict[str, int]
 
 
 def upsert(
@@ -73,41 +94,120 @@ def _fs(spark: SparkSession, path: str):
     return jvm, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def latest_version(spark: SparkSession, path: str) -> int:
-    """Number of the newest complete version folder, -1 when there is none."""
+def _numbers(spark: SparkSession, path: str, prefix: str, done: str | None = None) -> list[int]:
+    """Numbers of the entries ``<prefix><number>`` of a folder, of those that hold ``done`` if given."""
     jvm, fs = _fs(spark, path)
     root = jvm.org.apache.hadoop.fs.Path(path)
     if not fs.exists(root):
-        return -1
-    best = -1
+        return []
+    found = []
     for status in fs.listStatus(root):
         name = status.getPath().getName()
-        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("v=") and fs.exists(done):
-            best = max(best, int(name[2:]))
-    return best
+        if name.startswith(prefix) and name[len(prefix) :].isdigit():
+            if done is None or fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), done)):
+                found.append(int(name[len(prefix) :]))
+    return found
+
+
+def latest_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest completely written version folder of a table, -1 when there is none."""
+    return max(_numbers(spark, path, "v=", "_SUCCESS"), default=-1)
+
+
+def snapshot(spark: SparkSession, base: str) -> Snapshot:
+    """The newest commit record of a store; version -1 before the first."""
+    newest = max(_numbers(spark, f"{base}/commits", "c"), default=-1)
+    if newest < 0:
+        return Snapshot(-1, {}, {})
+    said = json.loads(spark.read.text(f"{base}/commits/c{newest}", wholetext=True).first()[0])
+    return Snapshot(newest, said["tables"], said["epochs"])
+
+
+def _commit(spark: SparkSession, base: str, new: Snapshot) -> None:
+    """Write the record aside and rename it, so it is there whole or not at all."""
+    jvm, fs = _fs(spark, base)
+    place = jvm.org.apache.hadoop.fs.Path
+    aside, to = place(f"{base}/commits/_new-{uuid.uuid4().hex}"), place(f"{base}/commits/c{new.version}")
+    out = fs.create(aside, False)
+    out.write(bytearray(json.dumps({"tables": new.tables, "epochs": new.epochs}).encode()))
+    out.close()
+    if fs.exists(to) or not fs.rename(aside, to):
+        fs.delete(aside, False)
+        raise RuntimeError(f"another load has committed version {new.version} of {base}")
+
+
+def bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def touched(df: DataFrame, key: str) -> list[int]:
+    """The buckets that hold a row of ``df``, BUCKETS at most."""
+    return sorted(r[0] for r in df.select(bucket(key)).distinct().collect())
+
+
+def read_store(
+    spark: SparkSession, base: str, table: str, at: Snapshot | None = None, buckets: list[int] | None = None, schema: str | None = None
+) -> DataFrame:
+    """A table as the newest (or the given) record has it; ``buckets`` limits what is read."""
+    at = snapshot(spark, base) if at is None else at
+    schema = schema or SCHEMAS[table]
+    wanted = set(range(BUCKETS)) if buckets is None else set(buckets)
+    if table in GROWING:
+        if at.version < 0 or not _numbers(spark, f"{base}/{table}", "v="):
+            return spark.createDataFrame([], schema)
+        rows = spark.read.schema(f"{schema}, v int, bucket int").parquet(f"{base}/{table}").where(F.col("v") <= at.version)
+        return (rows if buckets is None else rows.where(F.col("bucket").isin(sorted(wanted)))).drop("v", "bucket")
+    paths = [f"{base}/{table}/v={v}/bucket={b}" for b, v in enumerate(at.tables.get(table, [])) if v >= 0 and b in wanted]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def write_load(
+    spark: SparkSession, base: str, at: Snapshot, tables: dict[str, DataFrame], keys: dict[str, str] = KEYS,
+    buckets: dict[str, list[int]] | None = None, epoch: tuple[str, int] | None = None,
+) -> Snapshot:
+    """Write ``tables`` as the load after ``at`` and commit them together.
+
+    A table that is not growing gives the whole new content of its ``buckets``
+    (of all buckets it has rows in, if not named).
+    """
+    version = at.version + 1
+    state = dict(at.tables)
+    for name, df in tables.items():
+        dealt = df.withColumn("bucket", bucket(keys[name])).hint("rebalance", "bucket")
+        dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{base}/{name}/v={version}")
+        if name not in GROWING:
+            mine = _numbers(spark, f"{base}/{name}/v={version}", "bucket=")
+            old = state.get(name, [-1] * BUCKETS)
+            state[name] = [version if b in mine else -1 if b in (buckets or {}).get(name, []) else v for b, v in enumerate(old)]
+    epochs = at.epochs if epoch is None else {**at.epochs, epoch[0]: epoch[1]}
+    new = Snapshot(version, state, epochs)
+    _commit(spark, base, new)
+    return new
+
+
+def store_rows(base: str, **tables: DataFrame) -> Snapshot:
+    """Replace the given tables of a store (add to growing ones) in one load."""
+    spark = next(iter(tables.values())).sparkSession
+    every = {name: list(range(BUCKETS)) for name in tables}
+    return write_load(spark, base, snapshot(spark, base), tables, buckets=every)
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The newest version of a table (a growing one: all of them), empty when it does not exist yet."""
+    """A table of a store by its folder, empty when it does not exist yet; without records, its newest complete version."""
+    base, name = path.rstrip("/").rsplit("/", 1)
+    at = snapshot(spark, base)
+    if at.version >= 0:
+        return read_store(spark, base, name, at, schema=schema)
     version = latest_version(spark, path)
-    if version < 0:
-        return spark.createDataFrame([], schema)
-    if path.rstrip("/").rsplit("/", 1)[-1] in GROWING:
-        return spark.read.schema(f"{schema}, v int").parquet(path).drop("v")
-    return spark.read.schema(schema).parquet(f"{path}/v={version}")
+    return spark.read.schema(schema).parquet(f"{path}/v={version}") if version >= 0 else spark.createDataFrame([], schema)
 
 
-def read_reviews(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
-    """The review table, or its rows of versions under ``before``."""
-    if before is None or latest_version(spark, f"{base}/review") < 0:
-        return read_table(spark, f"{base}/review", schemas.REVIEW)
-    rows = spark.read.schema(f"{schemas.REVIEW}, v int").parquet(f"{base}/review")
-    return rows.where(F.col("v") < before).drop("v")
+def read_reviews(spark: SparkSession, base: str) -> DataFrame:
+    return read_store(spark, base, "review")
 
 
 def write_version(df: DataFrame, path: str, version: int | None = None) -> int:
-    """Write the next version (or the given one, again if it was cut short)."""
+    """Write the next version (or the given one, again if it was cut short) of a table that stands alone."""
     if version is None:
         version = latest_version(df.sparkSession, path) + 1
     df.write.mode("overwrite").parquet(f"{path}/v={version}")

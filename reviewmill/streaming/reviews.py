@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reviewmill import schemas
 from reviewmill.operators.ingest import build_users, first_per_key
 from reviewmill.plans.storage import cut
-from reviewmill.sources.tables import latest_version, read_reviews, write_version
+from reviewmill.sources.tables import read_reviews, read_store, snapshot, touched, write_load
 
 
 def stream_reviews(
@@ -34,31 +34,17 @@ def stream_reviews(
     return reader.parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def append_epoch(batch: DataFrame, path: str, epoch: int, keys: list[str], seq: str) -> None:
-    """Store the first row of every key that no earlier epoch stored; a rerun replaces its own rows."""
-    fresh = first_per_key(batch, keys, seq)
-    if latest_version(batch.sparkSession, path) >= 0:
-        stored = batch.sparkSession.read.schema(fresh.select(*keys).schema.add("v", "integer")).parquet(path)
-        fresh = fresh.join(stored.where(F.col("v") < epoch).select(*keys), keys, "left_anti")
-    write_version(fresh.select(*batch.columns), path, epoch)
-
-
-def _version(spark: SparkSession, base: str, stream: str, epoch: int) -> int:
-    """The table version of an epoch: the next one, noted before it is written and found again on a rerun."""
-    path = f"{base}/epochs/{stream}/v={epoch}"
-    if latest_version(spark, f"{base}/epochs/{stream}") >= epoch:
-        return spark.read.schema("version int").parquet(path).first()["version"]
-    version = 1 + max(latest_version(spark, f"{base}/{t}") for t in ("place", "users", "review"))
-    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("overwrite").parquet(path)
-    return version
-
-
-def _table_before(spark: SparkSession, path: str, version: int, schema: str) -> DataFrame:
-    # an epoch that runs again must not read its own first attempt
-    version = min(latest_version(spark, path), version - 1)
-    if version < 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v={version}")
+def append_epoch(batch: DataFrame, base: str, epoch: int, keys: list[str], seq: str, stream: str = "default") -> None:
+    """Add the first row of every key that no earlier epoch stored to the table ``rows``; an epoch counts once."""
+    spark = batch.sparkSession
+    at = snapshot(spark, base)
+    if epoch <= at.epochs.get(stream, -1):
+        return
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema)
+    first = cut(first_per_key(batch, keys, seq), "first")
+    stored = read_store(spark, base, "rows", at, touched(first, keys[0]), schema)
+    fresh = first.join(stored.select(*keys), keys, "left_anti").select(*batch.columns)
+    write_load(spark, base, at, {"rows": fresh}, {"rows": keys[0]}, epoch=(stream, epoch))
 
 
 def upsert_epoch(batch: DataFrame, base: str, epoch: int, seq: str = "seq", stream: str = "default") -> None:
@@ -66,16 +52,21 @@ def upsert_epoch(batch: DataFrame, base: str, epoch: int, seq: str = "seq", stre
 
     ``batch`` has the review columns, ``place_name`` and the order column.  Only
     reviews the store lacks count: their ratings join the place's mean and
-    number, and their ids follow the user's list as further parts.  A batch load
-    and the epochs of any ``stream`` take version numbers in turn, and an epoch
-    that is run again after a failure replaces its own output and nothing else.
+    number, and their ids follow the user's list as further parts.  The commit
+    that makes them visible also notes the epoch of its ``stream``: an epoch
+    that died before it starts over from the last commit, one that comes again
+    after it changes nothing.
     """
     spark = batch.sparkSession
-    version = _version(spark, base, stream, epoch)
-    stored = read_reviews(spark, base, version).select("review_id")
-    fresh = cut(first_per_key(batch, ["review_id"], seq).join(stored, "review_id", "left_anti"), "fresh")
-
-    old = _table_before(spark, f"{base}/place", version, schemas.PLACE)
+    at = snapshot(spark, base)
+    if epoch <= at.epochs.get(stream, -1):
+        return
+    first = cut(first_per_key(batch, ["review_id"], seq), "first")
+    stored = read_store(spark, base, "review", at, touched(first, "review_id")).select("review_id")
+    fresh = cut(first.join(stored, "review_id", "left_anti"), "fresh")
+    mine = {"place": touched(fresh, "place_id"), "users": touched(fresh, "user_id")}
+
+    old = read_store(spark, base, "place", at, mine["place"])
     new = fresh.groupBy("place_id").agg(
         F.min_by("place_name", seq).alias("_name"), F.sum("rating").alias("_sum"),
         F.count("rating").alias("_rated"), F.count(F.lit(1)).cast("int").alias("_n"),
@@ -88,27 +79,28 @@ def upsert_epoch(batch: DataFrame, base: str, epoch: int, seq: str = "seq", stre
     values = {c: F.when(F.col("_old"), F.col(c)).otherwise(v) for c, v in empty.items()}
     values["avg_rating"] = F.when(F.col("_n").isNull(), F.col("avg_rating")).otherwise(total / F.nullif(rated, F.lit(0)))
     values["num_reviews"] = count + F.coalesce("_n", F.lit(0))
-    place = known.select(*[values[c].alias(c) if c in values else F.col(c) for c in old.columns])
-    write_version(place, f"{base}/place", version)
+    places = known.select(*[values[c].alias(c) if c in values else F.col(c) for c in old.columns])
 
-    old = _table_before(spark, f"{base}/users", version, schemas.USERS)
-    last = old.groupBy("user_id").agg(F.max("part").alias("_part"), F.min_by("name", "part").alias("_name"))
+    lists = read_store(spark, base, "users", at, mine["users"])
+    last = lists.groupBy("user_id").agg(F.max("part").alias("_part"), F.min_by("name", "part").alias("_name"))
     users = build_users(fresh, seq).join(last, "user_id", "left").withColumns({
         "part": (F.col("part") + F.coalesce(F.col("_part") + 1, F.lit(0))).cast("int"), "name": F.coalesce("_name", "name"),
     })
-    write_version(old.unionByName(users.select(*old.columns)), f"{base}/users", version)
-
     columns = [c.split()[0] for c in schemas.REVIEW.split(", ")]
-    write_version(fresh.select(*columns), f"{base}/review", version)
+    tables = {"place": places, "users": lists.unionByName(users.select(*lists.columns)), "review": fresh.select(*columns)}
+    write_load(spark, base, at, tables, buckets=mine, epoch=(stream, epoch))
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint folder keeps for its query; an emptied folder gets another one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
 
 
 def stream_upsert(df: DataFrame, base: str, checkpoint: str, seq: str = "seq"):
     """Run the stream over everything available and return the finished query."""
 
-    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
-
     def apply(batch: DataFrame, epoch: int) -> None:
-        upsert_epoch(batch, base, epoch, seq, stream)
+        upsert_epoch(batch, base, epoch, seq, _stream_id(batch.sparkSession, checkpoint))
 
     query = (
         df.writeStream.foreachBatch(apply)
