@@ -18,9 +18,9 @@ from pyspark.sql import types as T
 
 # Bounds of the memo tables of one Python worker.  Full tables of states and pairs are emptied and filled anew,
 # of the pieces those used since the table before was full stay.
-MAX_STATES = 150_000
+MAX_STATES = 220_000
 MAX_PAIRS = 400_000
-MAX_PIECES = 400_000
+MAX_PIECES = 600_000
 # Bytes of results sent on at a time.
 BATCH = 4 << 20
 
