@@ -45,8 +45,13 @@ def cut(df: DataFrame, label: str = "step") -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Remove tables that ``cut`` wrote, once all that was made of them is written as well."""
+    """Remove tables that ``cut`` wrote, once all that was made of them is written as well.
+
+    Spark drops the shuffle files of finished plans when the driver collects
+    its garbage; a driver with little to do is asked to here.
+    """
+    spark = SparkSession.active()
     for table in tables:
-        jvm = table.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(table.written_path)
-        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._jvm.java.lang.System.gc()
