@@ -119,11 +119,12 @@ def _suffixes(docs: DataFrame, depth: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
-            for i, text, at in zip(*(b.column(c).to_pylist() for c in ("id", "text", "at")), strict=True):
-                out.extend(rows(i, text, at))
-                if len(out) > 20_000:
-                    yield batch(out)
-                    out = []
+            for row in range(b.num_rows):  # one row's places at a time, they are many
+                for line in rows(*(b.column(c)[row].as_py() for c in ("id", "text", "at"))):
+                    out.append(line)
+                    if len(out) > 10_000:
+                        yield batch(out)
+                        out = []
             yield batch(out)
 
     kinds = [("key", pa.int64()), ("id", pa.int64()), ("pos", pa.int32()), ("off", pa.int32()), ("words", pa.binary())]
@@ -142,17 +143,20 @@ def shared_words(a: bytes, b: bytes) -> int:
     return a.count(b" ", 0, int(differ[0]) if len(differ) else n)
 
 
-def deep_nodes(suffixes: list[bytes], depth: int) -> list[tuple[int, int, int]]:
+def deep_nodes(suffixes: list[bytes], heads: list[int], depth: int) -> list[tuple[int, int, int]]:
     """(words, first, end) of the internal nodes at ``depth`` words or deeper over sorted suffixes.
 
-    The suffix tree is never built: a stack over the common beginnings of
-    neighbours opens a node where they grow and closes it where they shrink.
-    Every node is a maximal repeat to the right, with the suffixes first to
-    end - 1 as its leaves; nodes come after those below them.
+    ``heads`` are the lengths of the first ``depth`` words, blank included.  The
+    suffix tree is never built: a stack over the common beginnings of neighbours
+    opens a node where they grow and closes it where they shrink.  Every node is
+    a maximal repeat to the right, with the suffixes first to end - 1 as its
+    leaves; nodes come after those below them.
     """
     nodes, stack = [], []
     for i in range(1, len(suffixes) + 1):
-        common = shared_words(suffixes[i - 1], suffixes[i]) if i < len(suffixes) else 0
+        common = 0
+        if i < len(suffixes) and suffixes[i].startswith(suffixes[i - 1][: heads[i - 1]]):
+            common = shared_words(suffixes[i - 1], suffixes[i])
         start = i - 1
         while stack and stack[-1][0] > common:
             words, start = stack.pop()
@@ -174,12 +178,14 @@ def tree_repeats(group: list[tuple], depth: int) -> list[int]:
         return masks
     suffixes = []
     for r, (line, off, i, pos) in enumerate(group):
-        starts = [0] + [j + 1 for j, c in enumerate(line) if c == 32]
-        for w in range(len(starts) - depth + 1):
-            suffixes.append((line[starts[w] :] + b" ", i, pos - off + w, r, w))
+        line += b" "
+        ends = [j + 1 for j, c in enumerate(line) if c == 32]
+        starts = [0, *ends]
+        for w in range(len(ends) - depth + 1):
+            suffixes.append((line[starts[w] :], i, pos - off + w, r, w, ends[w + depth - 1] - starts[w]))
     suffixes.sort()
     upto = len(suffixes)
-    for _, first, end in reversed(deep_nodes([s[0] for s in suffixes], depth)):
+    for _, first, end in reversed(deep_nodes([s[0] for s in suffixes], [s[5] for s in suffixes], depth)):
         if end > upto:  # below a node seen already
             continue
         upto = first
@@ -232,7 +238,7 @@ def repeated_windows(docs: DataFrame, depth: int = 20) -> DataFrame:
         F.any_value("words").alias("words"), F.any_value("off").alias("off"),
     )
     firsts = cut(firsts.select("key", "ck", "n", "words", "off", "first.*"), "distinct")
-    # a suffix whose prefix nobody else has needs no tree
+    discard()
     trees = cut(_trees(firsts, depth), "trees")
     known = cut(
         firsts.select("ck", "n", F.col("id").alias("_id"), F.col("pos").alias("_pos"), (F.length("words")).alias("_len"))
@@ -278,9 +284,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = repeated_windows(named.select("id", "text"), depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), kind]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                ["id", "n_words", "n_removed", "kept", "repeats"],
+            )
+
         for b in batches:
-            total, lost, kept, spans = [], [], [], []
-            for text, starts in zip(b.column("text").to_pylist(), b.column("starts").to_pylist(), strict=True):
+            done: list[tuple] = []
+            size = 0
+            for row in range(b.num_rows):
+                i, text, starts = (b.column(c)[row].as_py() for c in ("id", "text", "starts"))
                 words = _bytes(text).split()
                 n, runs = len(words), []
                 for begin, end in sorted(
@@ -296,15 +313,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     left += words[at:begin]
                     at = end
                 left += words[at:]
-                total.append(n)
-                lost.append(n - len(left))
-                kept.append(b" ".join(left).decode("utf-8", "replace"))
-                spans.append([{"start": s, "end": e} for s, e in runs])
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(total, pa.int64()), pa.array(lost, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, kind)],
-                ["id", "n_words", "n_removed", "kept", "repeats"],
-            )
+                kept = b" ".join(left).decode("utf-8", "replace")
+                done.append((i, n, n - len(left), kept, [{"start": s, "end": e} for s, e in runs]))
+                size += len(kept)
+                if size >= 4 << 20 or row + 1 == b.num_rows:
+                    yield batch(done)
+                    done, size = [], 0
 
     out = named.join(marks, "id", "left").select(F.col("own").alias("id"), "text", "starts").mapInArrow(
         run, "id long, n_words long, n_removed long, kept string, repeats array<struct<start:int,end:int>>"
