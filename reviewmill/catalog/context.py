@@ -12,6 +12,7 @@ from reviewmill.catalog.text import WORDS, sql
 from reviewmill.functions.pages import html_main_text, keep_lines, site_root
 from reviewmill.lexicons import COOKIE_PHRASES, DROPPED_TAGS, ERROR_PHRASES, SITE_PATHS
 from reviewmill.operators import context, features, pages, vectors
+from reviewmill.plans import flows
 from reviewmill.plans.storage import cut
 
 # --- page text ------------------------------------------------------------
@@ -20,20 +21,44 @@ _ENTITIES = {
     "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "''", "&#39;": "''", "&copy;": "©",
     "&reg;": "®", "&middot;": "·", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…",
     "&eacute;": "é", "&egrave;": "è", "&agrave;": "à", "&ccedil;": "ç", "&uuml;": "ü", "&ouml;": "ö", "&auml;": "ä",
-    "&szlig;": "ß", "&ntilde;": "ñ", "&euro;": "€", "&amp;": "&",
+    "&szlig;": "ß", "&ntilde;": "ñ", "&euro;": "€", "&Eacute;": "É", "&#233;": "é", "&#x263A;": "☺", "&amp;": "&",
 }
+# every third page gets a div#content with divs in it in place of its article
+_DIVS = [
+    ("<article>", '<div class="a" id="content"><div>&#233;t&Eacute; &#x263A; &amp;lt;</div>'),
+    ("</article>", "<div><div>inner</div> still inside</div></div><div>outside</div>"),
+]
+
+
+def _pages(spark: SparkSession, sf: str) -> DataFrame:
+    nested = F.col("html")
+    for old, new in _DIVS:
+        nested = F.replace(nested, F.lit(old), F.lit(new))
+    return table(spark, sf, "pages").withColumn("html", F.when(F.col("page_id") % 3 == 0, nested).otherwise(F.col("html")))
+
+
+_PAGES = "(SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN replace(replace(html, '{}', '{}'), '{}', '{}') ELSE html END AS html FROM pages)".format(
+    *[x for pair in _DIVS for x in pair]
+)
 
 
 def _main_sql(src: str) -> str:
     x = f"regexp_replace({src}, '(?s)<!--.*?-->', '', 'g')"
     for tag in DROPPED_TAGS:
-        x = f"regexp_replace({x}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
+        x = f"regexp_replace({x}, '(?is)<{tag}(?:[\\s/][^>]*)?>.*?</{tag}\\s*>', chr(10), 'g')"
     return x
 
 
-_ROOT = r"""CASE WHEN regexp_matches(h, '(?is)<main\b[^>]*>.*?</main\s*>') THEN regexp_extract(h, '(?is)<main\b[^>]*>(.*?)</main\s*>', 1)
- WHEN regexp_matches(h, '(?is)<article\b[^>]*>.*?</article\s*>') THEN regexp_extract(h, '(?is)<article\b[^>]*>(.*?)</article\s*>', 1)
- ELSE regexp_extract(h, '(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)', 1) END"""
+_DIV = r"(?i)</?div(?:[\s/][^>]*)?>"
+_AFTER = r"""regexp_extract(h, '(?is)<div(?:\s[^>]*)?\sid\s*=\s*"content"[^>]*>(.*)', 1)"""
+# the pieces between div tags up to the first tag where as many divs are closed as opened
+_CONTENT = f"""array_to_string(string_split_regex({_AFTER}, '{_DIV}')[1 : list_position(
+ list_transform(range(1, len(regexp_extract_all({_AFTER}, '{_DIV}')) + 1), lambda i: 1 + list_sum(list_transform(
+ regexp_extract_all({_AFTER}, '{_DIV}')[1 : i], lambda t: CASE WHEN t[2] = '/' THEN -1 ELSE 1 END))), 0)], chr(10))"""
+_ROOT = rf"""CASE WHEN regexp_matches(h, '(?is)<main(?:[\s/][^>]*)?>.*?</main\s*>') THEN regexp_extract(h, '(?is)<main(?:[\s/][^>]*)?>(.*?)</main\s*>', 1)
+ WHEN regexp_matches(h, '(?is)<article(?:[\s/][^>]*)?>.*?</article\s*>') THEN regexp_extract(h, '(?is)<article(?:[\s/][^>]*)?>(.*?)</article\s*>', 1)
+ WHEN regexp_matches(h, '(?is)<div(?:\s[^>]*)?\sid\s*=\s*"content"') THEN {_CONTENT}
+ ELSE regexp_extract(h, '(?is)<body(?:[\s/][^>]*)?>(.*?)(?:</body\s*>|\z)', 1) END"""
 
 
 def _unescape_sql(x: str) -> str:
@@ -47,27 +72,28 @@ _LINES = (
     "lambda x: length(x) > 50" + "".join(f" AND NOT contains(lower(x), '{p}')" for p in COOKIE_PHRASES) + ")"
 )
 PAGE_TEXT = f"""main AS (SELECT page_id, url, {_unescape_sql("regexp_replace(r, '(?s)<[^>]+>', chr(10), 'g')")} AS m FROM
- (SELECT *, {_ROOT} AS r FROM (SELECT page_id, url, {_main_sql('html')} AS h FROM pages))),
+ (SELECT *, {_ROOT} AS r FROM (SELECT page_id, url, {_main_sql('html')} AS h FROM @pages))),
 texts AS (SELECT page_id, url, array_to_string({_LINES}, chr(10)) AS text FROM main)"""
 _ACCEPT = "length(text) >= 200" + "".join(f" AND NOT contains(lower(text), '{p}')" for p in ERROR_PHRASES)
+PAGE_TEXT, _FLOW_TEXT = PAGE_TEXT.replace("@pages", _PAGES), PAGE_TEXT.replace("@pages", "site_pages")
 ACCEPTED = f"{PAGE_TEXT}, accepted AS (SELECT * FROM texts WHERE {_ACCEPT})"
 
 
 @register("c27_html_main_text", f"WITH {PAGE_TEXT} SELECT page_id, md5(m) AS text_md5, length(m) AS n FROM main")
 def c27(spark: SparkSession, sf: str) -> DataFrame:
-    t = table(spark, sf, "pages").select("page_id", html_main_text("html").alias("m"))
+    t = _pages(spark, sf).select("page_id", html_main_text("html").alias("m"))
     return t.select("page_id", F.md5("m").alias("text_md5"), F.length("m").alias("n"))
 
 
 @register("c28_keep_lines", f"WITH {PAGE_TEXT} SELECT page_id, md5(text) AS text_md5, length(text) AS n FROM texts")
 def c28(spark: SparkSession, sf: str) -> DataFrame:
-    t = table(spark, sf, "pages").select("page_id", keep_lines(html_main_text("html")).alias("t"))
+    t = _pages(spark, sf).select("page_id", keep_lines(html_main_text("html")).alias("t"))
     return t.select("page_id", F.md5("t").alias("text_md5"), F.length("t").alias("n"))
 
 
 @register("p9_accept_pages", f"WITH {ACCEPTED} SELECT page_id, url FROM accepted")
 def p9(spark: SparkSession, sf: str) -> DataFrame:
-    return pages.accept_pages(pages.page_texts(table(spark, sf, "pages"))).select("page_id", "url")
+    return pages.accept_pages(pages.page_texts(_pages(spark, sf))).select("page_id", "url")
 
 
 @register(
@@ -112,18 +138,28 @@ def j8(spark: SparkSession, sf: str) -> DataFrame:
     return pages.select_site_pages(p, wanted).select("page_id")
 
 
+_PATHS = "[" + ", ".join(f"'{p}'" for p in SITE_PATHS) + "]"
+
+
 @register(
     "flow_site_contexts",
-    f"""WITH {ACCEPTED}, o AS (SELECT regexp_extract(url, '^https?://[^/?#]+') AS root, * FROM accepted),
- p AS (SELECT *, (row_number() OVER (PARTITION BY root ORDER BY page_id) - 1) // 10 AS part FROM o)
+    f"""WITH moved AS (SELECT page_id, html, regexp_extract(url, '^https?://[^/?#]+') AS root, regexp_extract(url, '^https?://[^/?#]+')
+ || CASE WHEN page_id % 5 = 4 THEN '/blog' ELSE '/' || ({_PATHS})[page_id % {len(SITE_PATHS)} + 1] || CASE WHEN page_id % 2 = 0 THEN '/#top' ELSE '' END END AS url FROM {_PAGES}),
+ site_pages AS (SELECT * FROM moved WHERE page_id % 5 <> 4 QUALIFY row_number() OVER (PARTITION BY regexp_replace(url, '/#top$', '') ORDER BY page_id) = 1),
+ {_FLOW_TEXT}, accepted AS (SELECT * FROM texts WHERE {_ACCEPT}),
+ o AS (SELECT regexp_extract(url, '^https?://[^/?#]+') || '/' AS root, * FROM accepted),
+ p AS (SELECT *, (row_number() OVER (PARTITION BY root ORDER BY page_id) - 1) // 2 AS part FROM o)
  SELECT root AS base_url, part, string_agg(url, ', ' ORDER BY page_id) AS pages_scraped,
  md5(string_agg('--- Source: ' || url || ' ---' || chr(10) || text, chr(10) || chr(10) ORDER BY page_id)) AS text_md5 FROM p GROUP BY ALL""",
 )
 def flow_site_contexts(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw pages to one context text per site."""
-    texts = pages.accept_pages(pages.page_texts(table(spark, sf, "pages")))
-    owned = cut(texts.withColumn("base_url", site_root("url")), "accepted")
-    return pages.site_context(owned).select(
+    """Raw pages to one context per site, two pages a part; the pages stand at known paths, some twice, some elsewhere."""
+    root = site_root("url")
+    path = F.get(F.array(*[F.lit(p) for p in SITE_PATHS]), (F.col("page_id") % len(SITE_PATHS)).cast("int"))
+    known = F.concat(F.lit("/"), path, F.when(F.col("page_id") % 2 == 0, F.lit("/#top")).otherwise(F.lit("")))
+    moved = _pages(spark, sf).withColumn("url", F.concat(root, F.when(F.col("page_id") % 5 == 4, F.lit("/blog")).otherwise(known)))
+    sites = moved.select(F.concat(root, F.lit("/")).alias("base_url")).distinct()
+    return flows.site_contexts(sites, moved, 2).select(
         "base_url", "part", F.array_join("pages_scraped", ", ").alias("pages_scraped"),
         F.md5("combined_text").alias("text_md5"),
     )

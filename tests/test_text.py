@@ -79,6 +79,28 @@ def test_page_text(spark):
     assert one(spark, P.site_root, ["https://a.b:8080/c?d", "no url"]) == ["https://a.b:8080", None]
 
 
+def test_page_roots_end_at_their_own_tag(spark):
+    html = [
+        "<body>x<div class=a><div id='content'>one<div>two<div>three</div>four</div>five</div>six</div></body>",
+        "<body><div data-id='content'>no</div><nav>a<nav>b</nav>c</nav>text<cookie-banner>z<my-consent>q</my-consent></cookie-banner>tail",
+        "<main>a<main-x>b</main-x><article>c</article></main>d", "<article>a<article>b</article>c</article>d<p>",
+        "<body><script>if (a<b) '</div>'</script>keep<header>gone", "<DIV ID=\"content\">up<Div>in</DIV>per</div>x",
+        "<body>" + "<div>deep " * 3000, None,
+    ]
+    got = [x.split() for x in one(spark, P.html_main_text, html)]
+    assert got == [
+        ["one", "two", "three", "four", "five"], ["no", "text", "tail"], ["a", "b", "c"], ["a", "b", "c"], ["keep"],
+        ["up", "in", "per"], ["deep"] * 3000, [],
+    ]
+    import html as lib
+
+    refs = [
+        "a &amp;lt; b", "&copy; &copy x &#65;&#x41;&#150;&#0;&#xD800;&#99999999999;&nosuch; &AElig;&NotEqualTilde; & &; &#; end",
+        "plain", "&frac12&eacute;", "&#00065;&#x1F600;", "&#x0000041;" + "&#1114112;",
+    ]
+    assert one(spark, P.unescape, refs) == [lib.unescape(x) for x in refs]
+
+
 def test_spelling(spark):
     vocab = spark.createDataFrame(
         [("harbour", 9), ("ferry", 5), ("lantern", 4), ("from", 50), ("the", 20), ("form", 1)], "word string, freq bigint"
