@@ -10,6 +10,7 @@ from reviewmill.catalog.tables import alt_rows, scraped_rows
 from reviewmill.functions import ids, parse
 from reviewmill.functions.text import ids_json
 from reviewmill.operators import ingest
+from reviewmill.plans.storage import cut
 
 
 def uuid5_sql(x: str) -> str:
@@ -30,19 +31,20 @@ def p3(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@register("p4_uuid4")
+@register("p4_uuid4", "SELECT count(*) AS n, count(*) AS keys, count(*) AS version_4 FROM documents")
 def p4(spark: SparkSession, sf: str) -> DataFrame:
-    """Random keys have no SQL to compare with; counts are checked in the tests."""
-    return table(spark, sf, "documents").select("doc_id", ids.uuid4().alias("review_id"))
+    """Random keys, written before they are used twice: rows, distinct keys and keys of the right form."""
+    k = cut(table(spark, sf, "documents").select("doc_id", ids.uuid4().alias("review_id")), "keys")
+    form = F.col("review_id").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+    return k.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("review_id").alias("keys"), F.count_if(form).alias("version_4"))
 
 
-@register(
-    "p4_stable_key",
-    "SELECT count(*) AS n, count(DISTINCT k) AS keys FROM (SELECT source || '|' || lang || '|' || text AS k FROM documents)",
-)
+_STABLE = "length(source) || ':' || source || '|' || length(lang) || ':' || lang || '|' || length(text) || ':' || text"
+
+
+@register("p4_stable_key", f"SELECT doc_id, {uuid5_sql(f'({_STABLE})')} AS review_id FROM documents")
 def p4_stable(spark: SparkSession, sf: str) -> DataFrame:
-    k = table(spark, sf, "documents").select(ids.stable_key("source", "lang", "text").alias("k"))
-    return k.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("k").alias("keys"))
+    return table(spark, sf, "documents").select("doc_id", ids.stable_key("source", "lang", "text").alias("review_id"))
 
 
 @register(

@@ -63,18 +63,31 @@ _text_query("c3_strip_tags", "pages", "page_id", "html", T.strip_tags, sql(TAGS,
 _text_query("c4_squeeze", "documents", "doc_id", "text", T.squeeze, sql(SQUEEZE))
 
 
+# letters that become emoji, and how those are spelled: pictures, a flag, a tone, joined ones with and without a tone
+_EMOJI = [
+    ("x", "🔥", ":fire:"), ("z", "😀", ":grinning_face:"), ("q", "🇸🇬", ":flag_sg:"), ("j", "👍🏿", ":thumbs_up_dark_skin_tone:"),
+    ("k", "👩🏽‍🚀", ":woman_astronaut_medium_skin_tone:"), ("w", "👨‍👩‍👧", ":family_man_woman_girl:"), ("v", "❤️", ":red_heart:"),
+]
+
+
 def _with_emoji(c: Column) -> Column:
-    """Two letters become emoji, so that every text has many."""
-    return F.translate(c, "xz", "🔥😀")
+    for letter, emoji, _ in _EMOJI:
+        c = F.replace(c, F.lit(letter), F.lit(emoji))
+    return c
+
+
+def _emoji_sql(x: str) -> str:
+    letters = "".join(e[0] for e in _EMOJI)
+    x = f"translate({x}, '{letters}', '{''.join(chr(0xE000 + i) for i in range(len(letters)))}')"
+    for i, (_, _, name) in enumerate(_EMOJI):
+        x = f"replace({x}, '{chr(0xE000 + i)}', '{name}')"
+    return EMOJI.format(t=x)
 
 
 _text_query(
     "c5_verbalize_emoji", "documents", "doc_id", "text",
-    lambda c: T.verbalize_emoji(_with_emoji(F.concat(c, F.lit(" :ok_word: xxz!")))),
-    EMOJI.format(
-        t="replace(replace(replace(replace(text || ' :ok_word: xxz!','x','🔥'),'z','😀'),'🔥',':fire:'),"
-        "'😀',':grinning_face:')"
-    ),
+    lambda c: T.verbalize_emoji(_with_emoji(F.concat(c, F.lit(" :ay_by: xxzqqjjkkww!")))),
+    _emoji_sql("text || ' :ay_by: xxzqqjjkkww!'"),
 )
 _text_query(
     "c6_underscores", "documents", "doc_id", "text",
@@ -225,7 +238,7 @@ cores AS (SELECT word, count(*) AS freq FROM (SELECT regexp_replace(w, '^[^a-zA-
  FROM toks) WHERE word <> '' GROUP BY word),
 vocab AS (SELECT word, freq FROM cores WHERE freq >= {MIN_FREQ})"""
 
-_NEAR = """unk AS (SELECT word FROM cores WHERE word NOT IN (SELECT word FROM vocab) AND length(word) > 1
+_NEAR = """unk AS (SELECT word FROM cores ANTI JOIN vocab USING (word) WHERE length(word) > 1
  AND NOT regexp_matches(word, '^[0-9.]+$')),
 pairs AS (SELECT u.word, v.word AS candidate, v.freq, damerau_levenshtein(u.word, v.word) AS dist FROM unk u JOIN vocab v
  ON abs(length(u.word) - length(v.word)) <= 2 WHERE damerau_levenshtein(u.word, v.word) <= 2),
@@ -245,7 +258,7 @@ def _vocab(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 @register(
     "j5_vocabulary",
-    f"WITH {_TOKENS} SELECT word, freq, (word IN (SELECT word FROM vocab)) AS known FROM cores",
+    f"WITH {_TOKENS} SELECT c.word, c.freq, v.word IS NOT NULL AS known FROM cores c LEFT JOIN (SELECT word FROM vocab) v ON c.word = v.word",
 )
 def j5_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     words, vocab = _vocab(spark, sf)

@@ -6,10 +6,12 @@ ends than a newline, and use ``(?U)`` so that whitespace is Unicode whitespace.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reviewmill.lexicons import EMOJI_NAMES
+from reviewmill.lexicons import EMOJI_GENDERS, EMOJI_PEOPLE, EMOJI_RANGES, EMOJI_ROLES, SKIN_TONES, emoji_names
 
 # Unicode White_Space plus the four ASCII separators that also count as blanks.
 WS = r"[\s\x1c-\x1f]"
@@ -44,24 +46,81 @@ def squeeze(c) -> Column:
     return F.regexp_replace(_col(c), r"([^\n])\1{2,}", "$1$1")
 
 
+_JOINER, _PICTURE = "\u200d", "\ufe0f"
+_LETTERS = "".join(chr(c) for c in range(0x1F1E6, 0x1F200))
+
+
+def _emoji_pattern(names: dict[str, str]) -> str:
+    """One whole emoji: a table entry of several code points, a flag, a keycap, or pictures with tones, joined or not."""
+    ranges = [r.partition("-") for r in EMOJI_RANGES.split()]
+    one = "[" + "".join(rf"\x{{{a}}}" + (rf"-\x{{{b}}}" if b else "") for a, _, b in ranges)
+    one += "".join(rf"\x{{{ord(k):x}}}" for k in names if len(k) == 1) + "]"
+    tone = r"[\x{1f3fb}-\x{1f3ff}]"
+    picture = rf"{one}\x{{fe0f}}?{tone}?"
+    longer = sorted((k for k in names if len(k) > 1 and _JOINER not in k), key=len, reverse=True)
+    own = "".join(re.escape(k) + "|" for k in longer)
+    return rf"{own}[\x{{1f1e6}}-\x{{1f1ff}}]{{2}}|[0-9#*]\x{{fe0f}}?\x{{20e3}}|{picture}(?:\x{{200d}}{picture})*|{tone}"
+
+
+def _literal_map(table: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+
+
+def _emoji_name(emoji: Column, names: dict[str, str]) -> Column:
+    """``:name:`` of a whole emoji; parts that have no name stay as they are."""
+    table, tones, roles = _literal_map(names), _literal_map(SKIN_TONES), _literal_map(EMOJI_ROLES)
+    people, genders = _literal_map(EMOJI_PEOPLE), _literal_map(EMOJI_GENDERS)
+    named = lambda t, key: F.try_element_at(t, key)
+    base = lambda p: F.substring(p, 1, 1)
+    coded = lambda n: F.concat(F.lit(":"), n, F.lit(":"))
+
+    def toned(name: Column, part: Column) -> Column:
+        tone = named(tones, F.substring(part, 2, 1))
+        return coded(F.concat(name, F.coalesce(F.concat(F.lit("_"), tone), F.lit(""))))
+
+    def of_parts(parts: Column) -> Column:
+        first, second = parts[0], F.get(parts, F.lit(1))
+        family = (F.size(parts) > 1) & F.forall(parts, lambda p: named(people, p).isNotNull())
+        together = F.concat(F.lit("family_"), F.array_join(F.transform(parts, lambda p: named(people, p)), "_"))
+        acting = F.concat(named(genders, base(second)), F.lit("_"), F.regexp_replace(named(table, base(first)), "^person_", ""))
+        working = F.concat(named(people, base(first)), F.lit("_"), named(roles, base(second)))
+        each = F.transform(parts, lambda p: F.coalesce(toned(F.coalesce(named(table, base(p)), named(tones, base(p))), p), p))
+        return F.coalesce(F.when(family, coded(together)), toned(acting, first), toned(working, first), F.array_join(each, ""))
+
+    plain = F.replace(emoji, F.lit(_PICTURE), F.lit(""))
+    flag = F.concat(F.lit("flag_"), F.translate(plain, _LETTERS, "abcdefghijklmnopqrstuvwxyz"))
+    return F.coalesce(
+        coded(named(table, plain)),
+        F.when(plain.rlike(r"^[\x{1f1e6}-\x{1f1ff}]"), coded(flag)),
+        F.when(plain.rlike(r"\x{20e3}$"), coded(F.concat(F.lit("keycap_"), base(plain)))),
+        once(F.split(plain, _JOINER), of_parts),
+    )
+
+
 def verbalize_emoji(c, names: dict[str, str] | None = None) -> Column:
     """Emoji become ``[name] ``; a literal ``:word:`` in the text does as well.
 
-    Rows without any mapped symbol skip the per-character pass.
+    An emoji is taken whole: flags are named by their two letters, pictures with
+    a skin tone by both, joined ones by their own name, their role or their
+    family.  Texts without any emoji are left alone.
     """
-    names = EMOJI_NAMES if names is None else names
+    names = emoji_names() if names is None else names
     text = _col(c)
     if names:
-        table = F.create_map(*[F.lit(x) for s, n in names.items() for x in (s, f":{n}:")])
-        symbols = "[" + "".join(names) + "]"
-        spelled = F.array_join(
-            F.transform(
-                F.split(F.regexp_replace(text, "️", ""), ""),
-                lambda ch: F.coalesce(table[ch], ch),
-            ),
-            "",
-        )
-        text = F.when(text.rlike(symbols), spelled).otherwise(text)
+        pattern = _emoji_pattern(names)
+
+        def spelled(t: Column) -> Column:
+            # each different emoji of the text is named once
+            every = F.regexp_extract_all(t, F.lit(f"({pattern})"), F.lit(1))
+            found = once(F.array_distinct(every), lambda d: once(
+                F.transform(d, lambda e: _emoji_name(e, names)),
+                lambda n: F.transform(every, lambda e: F.element_at(n, F.array_position(d, e).cast("int"))),
+            ))
+            between = F.split(t, pattern)
+            both = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda x, y: F.concat(x, y))
+            return F.when(t.rlike(pattern), F.array_join(both, "")).otherwise(t)
+
+        text = once(text, spelled)
     return F.regexp_replace(text, r":([a-z_]+):", r"[$1] ")
 
 

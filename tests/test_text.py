@@ -61,6 +61,18 @@ def test_labels(spark):
 LONG = "This line is certainly longer than fifty characters, so it stays in the text."
 
 
+def test_emoji_are_taken_whole(spark):
+    said = {
+        "🇸🇬🇫🇷": "[flag_sg] [flag_fr] ", "👍🏽👍": ":thumbs_up_medium_skin_tone:".replace(":thumbs", "[thumbs")[:-1] + "] [thumbs_up] ",
+        "👩🏽‍🚀": "[woman_astronaut_medium_skin_tone] ", "👨‍👩‍👧": "[family_man_woman_girl] ", "❤️": "[red_heart] ", "❤️‍🔥": "[heart_on_fire] ",
+        "🏳️‍🌈": "[rainbow_flag] ", "5️⃣": ":keycap_5:", "🥟": "[dumpling] ", "🏃🏿‍♀️": "[woman_runner_dark_skin_tone] ",
+        "👍🏼": ":thumbs_up_medium-light_skin_tone:", "🏽": "[medium_skin_tone] ", "🔥‍🍕": "[fire] [pizza] ", "é 5 # ‍": "é 5 # ‍", "": "", None: None,
+    }
+    assert one(spark, T.verbalize_emoji, list(said)) == list(said.values())
+    own = one(spark, lambda c: T.verbalize_emoji(c, {"🔥": "hot", "^_^": "smile"}), ["🔥 ^_^ 🥟 👍🏽", "^^"])
+    assert own == ["[hot]  [smile]  🥟 👍🏽", "^^"]
+
+
 def test_page_text(spark):
     html = [
         f"<body><header>h</header><main><p>{LONG}</p><script>var x='</p>';</script><p>short</p></main>{LONG}</body>",
@@ -133,6 +145,25 @@ def test_edit_distance_equals_brute_force(spark):
         assert {v: d for (x, v), d in got.items() if x == w} == near
 
 
+def test_long_words_meet_in_segments(spark):
+    """Two random edits of every kind, exchanges too, in words of any length, next to each other and far apart."""
+    import random
+
+    rng = random.Random(4)
+
+    def edit(w):
+        i = rng.randrange(len(w) - 1)
+        return rng.choice([w[:i] + w[i + 1 :], w[:i] + "q" + w[i:], w[:i] + "q" + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :]])
+
+    words = ["".join(rng.choice("abcdef") for _ in range(n)) for n in [*range(12, 60), 300] for _ in range(3)]
+    words.append("".join(rng.choice("abcdef") for _ in range(20_000)))
+    asked = {edit(edit(w)): w for w in words}
+    df = spark.createDataFrame([(w,) for w in asked], "word string")
+    vocab = spark.createDataFrame([(w, 1) for w in words], "word string, freq bigint")
+    got = {(r.word, r.candidate) for r in spell.spell_candidates(df, vocab).collect()}
+    assert got == {(a, w) for a, w in asked.items() if a != w}
+
+
 def test_language(spark):
     rows = [("en", "the cat and the dog with the hat"), ("de", "der hund und die katze mit dem hut")]
     model = language.language_model(spark.createDataFrame(rows, "lang string, text string"))
