@@ -51,15 +51,18 @@ _LETTERS = "".join(chr(c) for c in range(0x1F1E6, 0x1F200))
 
 
 def _emoji_pattern(names: dict[str, str]) -> str:
-    """One whole emoji: a table entry of several code points, a flag, a keycap, or pictures with tones, joined or not."""
-    ranges = [r.partition("-") for r in EMOJI_RANGES.split()]
-    one = "[" + "".join(rf"\x{{{a}}}" + (rf"-\x{{{b}}}" if b else "") for a, _, b in ranges)
-    one += "".join(rf"\x{{{ord(k):x}}}" for k in names if len(k) == 1) + "]"
+    """One whole emoji: a table entry that is no picture, a keycap, a flag, or pictures with tones, joined or not."""
+    ranges = [(int(a, 16), int(b or a, 16)) for a, _, b in (r.partition("-") for r in EMOJI_RANGES.split())]
+    one = "[" + "".join(rf"\x{{{a:x}}}" + (rf"-\x{{{b:x}}}" if b > a else "") for a, b in ranges) + "]"
     tone = r"[\x{1f3fb}-\x{1f3ff}]"
     picture = rf"{one}\x{{fe0f}}?{tone}?"
-    longer = sorted((k for k in names if len(k) > 1 and _JOINER not in k), key=len, reverse=True)
-    own = "".join(re.escape(k) + "|" for k in longer)
-    return rf"{own}[\x{{1f1e6}}-\x{{1f1ff}}]{{2}}|[0-9#*]\x{{fe0f}}?\x{{20e3}}|{picture}(?:\x{{200d}}{picture})*|{tone}"
+    others = (k for k in names if _JOINER not in k and not (len(k) == 1 and any(a <= ord(k) <= b for a, b in ranges)))
+    own = "".join(re.escape(k) + "|" for k in sorted(others, key=len, reverse=True))
+    # the look ahead spares ordinary letters the walk through all ranges
+    return (
+        rf"{own}[0-9#*]\x{{fe0f}}?\x{{20e3}}|(?=[\x{{a9}}\x{{ae}}\x{{203c}}-\x{{1faff}}])"
+        rf"(?:[\x{{1f1e6}}-\x{{1f1ff}}]{{2}}|{picture}(?:\x{{200d}}{picture})*|{tone})"
+    )
 
 
 def _literal_map(table: dict[str, str]) -> Column:
@@ -111,13 +114,14 @@ def verbalize_emoji(c, names: dict[str, str] | None = None) -> Column:
 
         def spelled(t: Column) -> Column:
             # each different emoji of the text is named once
-            every = F.regexp_extract_all(t, F.lit(f"({pattern})"), F.lit(1))
-            found = once(F.array_distinct(every), lambda d: once(
-                F.transform(d, lambda e: _emoji_name(e, names)),
-                lambda n: F.transform(every, lambda e: F.element_at(n, F.array_position(d, e).cast("int"))),
-            ))
-            between = F.split(t, pattern)
-            both = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda x, y: F.concat(x, y))
+            def named(every: Column) -> Column:
+                return once(F.array_distinct(every), lambda d: once(
+                    F.transform(d, lambda e: _emoji_name(e, names)),
+                    lambda n: F.transform(every, lambda e: F.element_at(n, F.array_position(d, e).cast("int"))),
+                ))
+
+            found = once(F.regexp_extract_all(t, F.lit(f"({pattern})"), F.lit(1)), named)
+            both = F.zip_with(F.split(t, pattern), F.concat(found, F.array(F.lit(""))), lambda x, y: F.concat(x, y))
             return F.when(t.rlike(pattern), F.array_join(both, "")).otherwise(t)
 
         text = once(text, spelled)

@@ -157,21 +157,33 @@ def test_batch_then_stream_and_shrinking_lists(spark, tmp_path):
     assert rows_of(got.select("user_id", "part", "reviews")) == [("u", 0, ["z"]), ("w", 0, ["d"])]
 
 
-def test_cosine_topk_equals_brute_force(spark):
+@pytest.mark.parametrize("block, tile", [(256, 1 << 23), (7, 200)])
+def test_cosine_topk_equals_brute_force(spark, monkeypatch, block, tile):
+    """More queries than a block and more vectors than a tile; repeated, zero, null and shorter vectors."""
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", block)
+    monkeypatch.setattr(vectors, "TILE", tile)
     rng = np.random.default_rng(5)
-    v = rng.normal(size=(60, 8)).round(3)
-    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, vector array<float>")
-    q = df.where("vec_id < 7").withColumnRenamed("vec_id", "query_id")
-    old, vectors.QUERY_BLOCK = vectors.QUERY_BLOCK, 3
-    try:
-        got = {(r.query_id, r.rank): r.vec_id for r in vectors.cosine_topk(q, df, 4).collect()}
-    finally:
-        vectors.QUERY_BLOCK = old
-    unit = v / np.linalg.norm(v, axis=1)[:, None]
-    for i in range(7):
-        best = np.argsort(-(unit @ unit[i]))[:4]
+    v = rng.normal(size=(120, 8)).round(3)
+    v[100:110] = v[3]
+    v[110] = 0
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(500, None), (501, [1.0, None]), (502, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, vector array<float>")
+    got = {(r.query_id, r.rank): r.vec_id for r in vectors.cosine_topk(df.withColumnRenamed("vec_id", "query_id"), df, 4).collect()}
+    v = v.astype(np.float32).astype(float)
+    size = np.linalg.norm(v, axis=1)[:, None]
+    unit = v / np.where(size > 0, size, 1)
+    for i in range(120):
+        best = np.lexsort((np.arange(120), -np.round(unit @ unit[i], 6)))[:4]
         assert [got[i, r] for r in (1, 2, 3, 4)] == best.tolist()
-    assert len(got) == 28
+    assert len(got) == 480 + 1 and got[502, 1] == 502
+
+
+def test_many_queries_are_one_plan(spark):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(1500, 4)))], "vec_id bigint, vector array<float>")
+    got = vectors.cosine_topk(df.withColumnRenamed("vec_id", "query_id"), df, 2)
+    assert got._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 1
+    assert got.where("rank = 1 and query_id = vec_id").count() == 1500 and got.count() == 3000
 
 
 def test_context_files_and_chunks(spark, tmp_path):
