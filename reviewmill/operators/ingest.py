@@ -12,17 +12,6 @@ from reviewmill.functions.text import nonblank
 from reviewmill.plans.skew import chunked_lists, running_in_group
 
 
-def with_scraped_ids(df: DataFrame) -> DataFrame:
-    """Add place, user and review keys to scraped rows."""
-    return df.withColumns(
-        {
-            "_place_id": uuid5("name"),
-            "_user_id": uuid5("author"),
-            "_review_id": uuid5("review_id"),
-        }
-    )
-
-
 def to_reviews_scraped(df: DataFrame, *keep: str) -> DataFrame:
     """Scraped rows as review rows; ``keep`` names extra columns to carry."""
     return df.select(

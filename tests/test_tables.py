@@ -344,3 +344,21 @@ def test_a_batch_reads_and_writes_its_buckets_only(spark, tmp_path):
     assert sorted(at.tables["place"])[-2:] == [0, 1] and tables.read_store(spark, base, "place").count() == 500
     read = tables.read_store(spark, base, "review", at, tables.touched(spark.createDataFrame([("r1",)], "review_id string"), "review_id"))
     assert read.count() == 1 and "bucket" in read._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:200]
+
+
+def test_looked_up_keywords_equal_patterns(spark, monkeypatch):
+    """Several words, punctuation inside and at the ends, overlapping hits, other scripts, a text that repeats."""
+    from reviewmill.operators import aspects
+
+    rng = random.Random(8)
+    parts = ["to", "be", "or", "c", "+", "++", "-", " ", " ", "  ", "é", "über", "_x", "9", ".", "\n", "日本"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(60)] + ["to to to to to", "", None, "C++x TO-BE"]
+    words = {"".join(rng.choice(parts) for _ in range(rng.randint(1, 5))).strip("\n ") for _ in range(200)} | {"to to", "to-be", "c++", "+to"}
+    rows = [("s", i, t, ["a", "b", "none"][i % 3]) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "scope string, id bigint, text string, category string")
+    lexicon = spark.createDataFrame([(c, w) for c in "ab" for w in sorted(words - {""})], "category string, keyword string")
+    found = {}
+    for limit in (10_000, 1):
+        monkeypatch.setattr(aspects, "LITERALS", limit)
+        found[limit] = {r.id: (r.known, sorted(map(tuple, r.hits))) for r in aspects.keyword_hits(df, lexicon).collect()}
+    assert found[1] == found[10_000] and sum(len(h) for _, h in found[1].values()) > 100
