@@ -18,9 +18,11 @@ from pyspark.sql import types as T
 
 # Bounds of the memo tables of one Python worker.  Full tables of states and pairs are emptied and filled anew,
 # of the pieces those used since the table before was full stay.
-MAX_STATES = 220_000
-MAX_PAIRS = 400_000
-MAX_PIECES = 600_000
+MAX_STATES = 100_000
+MAX_PAIRS = 250_000
+MAX_PIECES = 200_000
+# Bits of a trie node's number.
+BITS, NODE = 24, (1 << 24) - 1
 # Bytes of results sent on at a time.
 BATCH = 4 << 20
 
@@ -47,7 +49,7 @@ class Transducer:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.child: dict[int, int] = {}  # 256 * node + byte -> node
-        self.token = array("i", [-1])
+        self.token = [-1]
         for word, rank in ranks.items():
             node = 0
             for byte in word:
@@ -62,11 +64,17 @@ class Transducer:
             self.inner[at >> 8] = 1
         self.splits: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}  # a token and the one before it, in one number
+        if len(self.token) > NODE:
+            raise ValueError("too many tokens")
         self._reset()
 
-    def _reset(self, state: tuple = ((-1, 0, ()),)) -> int:
-        """Empty the state tables but for the start and ``state``, whose new number is returned."""
-        self.states = list(dict.fromkeys((((-1, 0, ()),), state)))
+    def _reset(self, state: tuple = (0, ())) -> int:
+        """Empty the state tables but for the start and ``state``, whose new number is returned.
+
+        A state is flat: per hypothesis one number of the last token plus one and
+        the node, then the tokens it owes.
+        """
+        self.states = list(dict.fromkeys(((0, ()), state)))
         self.state_id = {s: i for i, s in enumerate(self.states)}
         self.steps: dict[int, int] = {}  # 256 * state + byte -> next state
         self.emits: dict[int, tuple[int, ...]] = {}
@@ -125,28 +133,30 @@ class Transducer:
     def _step(self, state: int, byte: int) -> int:
         after, met = [], False
         child_of, inner, token_of = self.child.get, self.inner, self.token
-        for last, node, owed in self.states[state]:
-            child = child_of(node << 8 | byte)
+        hypotheses = iter(self.states[state])
+        for place in hypotheses:
+            owed = next(hypotheses)
+            child = child_of((place & NODE) << 8 | byte)
             if child is None:
                 continue
             if inner[child]:
-                after.append((last, child, owed))
+                after += (place & ~NODE | child, owed)
             # a text has one encoding, so one hypothesis at most ends a token here
-            if not met and (token := token_of[child]) >= 0 and self._follows(last, token):
+            if not met and (token := token_of[child]) >= 0 and self._follows((place >> BITS) - 1, token):
                 met = True
-                after.append((token, 0, (*owed, token)))
+                after += (token + 1 << BITS, (*owed, token))
         if not after:
             raise ValueError(f"no token for byte {byte}")
         # hypotheses stay in the order of their last boundary, so equal sets are equal tuples
-        out = after[0][2]
+        out = after[1]
         if out:
-            for h in after:
+            for owed in after[3::2]:
                 shared = 0
-                while shared < len(out) and shared < len(h[2]) and out[shared] == h[2][shared]:
+                while shared < len(out) and shared < len(owed) and out[shared] == owed[shared]:
                     shared += 1
                 out = out[:shared]
             if out:
-                after = [(last, node, owed[len(out):]) for last, node, owed in after]
+                after[1::2] = [owed[len(out) :] for owed in after[1::2]]
         key = tuple(after)
         to = self.state_id.get(key)
         if to is None:
@@ -173,8 +183,9 @@ class Transducer:
                 state = self._step(at >> 8, byte)
             if at in emits:
                 out.extend(emits[at])
-        for _, node, owed in self.states[state]:
-            if node == 0:
+        last = self.states[state]
+        for place, owed in zip(last[::2], last[1::2], strict=True):
+            if not place & NODE:
                 out.extend(owed)
                 return out
         raise ValueError("no sequence of tokens makes the piece")
