@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from reviewmill.plans.storage import cut
+
 # Rows one salt of a hot key should hold.
 ROWS_PER_SALT = 500_000
 # Largest table, in rows, that is broadcast after counting it.
@@ -83,61 +85,38 @@ def _all_set(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def order_buckets(df: DataFrame, order: str, buckets: int | None = None) -> Column:
-    """Bucket number of a numeric order column, near-equal rows per bucket.
-
-    The bounds are a fixed, small list of quantiles taken to the driver once,
-    so every use of the expression agrees even when tasks are run again.
-    """
-    if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2, min(buckets, 512))
-    steps = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(order), steps, 10 * buckets).alias("q")).first()
-    bounds = sorted(set(row["q"] or []))
-
-    def pick(lo: int, hi: int) -> Column:
-        # balanced tree of comparisons: bounds[lo:hi] decide between lo..hi
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(order) < bounds[mid], pick(lo, mid)).otherwise(pick(mid + 1, hi))
-
-    return pick(0, len(bounds))
-
-
 def running_in_group(
-    df: DataFrame, keys: list[str], order: str, sums: dict[str, Column], buckets: int | None = None
+    df: DataFrame, keys: list[str], order: str, sums: dict[str, Column], parts: int | None = None
 ) -> DataFrame:
     """Running totals per key in ``order``, current row included.
 
-    A group is split into order buckets; totals of earlier buckets come from a
-    window over one row per (key, bucket), the rest from a window inside the
-    bucket.  No task ever sorts a whole hot group.
+    Rows are dealt to ranges of (keys, order), so a key of any size is cut into
+    as many ranges as its rows fill, and no task ever sorts a whole hot group.
+    Every range sums up its own rows.  Only a key that reaches over the edge
+    between two ranges needs what came before, which is one row per edge: fewer
+    rows than ranges are broadcast, whatever the data.  ``parts`` is the number
+    of ranges, that of shuffle partitions if not given.
     """
-    split = df.withColumn("_b", order_buckets(df, order, buckets))
-    for name, value in sums.items():
-        split = split.withColumn(f"_v_{name}", value)
-    parts = split.groupBy(*keys, "_b").agg(
-        *[F.sum(f"_v_{n}").alias(f"_p_{n}") for n in sums]
-    )
-    before = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    offsets = parts.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_b").alias("_kb"),
+    values = df.withColumns({f"_v_{name}": value for name, value in sums.items()})
+    by = [*[F.col(k) for k in keys], F.col(order)]
+    dealt = values.repartitionByRange(parts, *by) if parts else values.repartitionByRange(*by)
+    # written, so that every use sees the same ranges
+    placed = cut(dealt.withColumn("_b", F.spark_partition_id()), "ranges")
+    totals = placed.groupBy(*keys, "_b").agg(*[F.sum(f"_v_{n}").alias(f"_p_{n}") for n in sums])
+    inside = W.partitionBy(*keys).orderBy("_b")
+    before = inside.rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_kb"), F.row_number().over(inside).alias("_nth"),
         *[F.coalesce(F.sum(f"_p_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums],
-    )
-    inside = W.partitionBy(*keys, "_b").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    local = split.select(
-        *df.columns, "_b", *[F.sum(f"_v_{n}").over(inside).alias(f"_l_{n}") for n in sums]
-    )
+    ).where("_nth > 1")
+    upto = W.partitionBy("_b", *keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    local = placed.select(*df.columns, "_b", *[F.sum(f"_v_{n}").over(upto).alias(f"_l_{n}") for n in sums])
     match = reduce(
         lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-        + [F.col("_b") == F.col("_kb")],
+        [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_b") == F.col("_kb")],
     )
-    return local.join(offsets, match).select(
-        *df.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums]
+    return local.join(F.broadcast(offsets), match, "left").select(
+        *df.columns, *[(F.col(f"_l_{n}") + F.coalesce(f"_o_{n}", F.lit(0))).alias(n) for n in sums]
     )
 
 

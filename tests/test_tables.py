@@ -186,6 +186,20 @@ def test_many_queries_are_one_plan(spark):
     assert got.where("rank = 1 and query_id = vec_id").count() == 1500 and got.count() == 3000
 
 
+def test_one_key_with_all_rows_is_cut_as_finely_as_asked(spark):
+    rng = random.Random(3)
+    data = [("hot", s, rng.randint(1, 9)) for s in rng.sample(range(5000), 900)] + [(None, s, 1) for s in range(60)] + [("x", 7, 5)]
+    df = spark.createDataFrame(data, "k string, seq bigint, v bigint")
+    for parts in (1, 40, 700):
+        got = {(r.k, r.seq): (r.n, r.total) for r in skew.running_in_group(df, ["k"], "seq", {"n": F.lit(1), "total": F.col("v")}, parts).collect()}
+        for key in ("hot", None, "x"):
+            n = total = 0
+            for _, s, v in sorted((r for r in data if r[0] == key), key=lambda r: r[1]):
+                n, total = n + 1, total + v
+                assert got[key, s] == (n, total)
+        assert len(got) == len(data)
+
+
 def test_context_files_and_chunks(spark, tmp_path):
     long = "words " * 60
     html = f"<body><main><p>{long}</p></main></body>"
