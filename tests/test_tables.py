@@ -376,3 +376,22 @@ def test_looked_up_keywords_equal_patterns(spark, monkeypatch):
         monkeypatch.setattr(aspects, "LITERALS", limit)
         found[limit] = {r.id: (r.known, sorted(map(tuple, r.hits))) for r in aspects.keyword_hits(df, lexicon).collect()}
     assert found[1] == found[10_000] and sum(len(h) for _, h in found[1].values()) > 100
+
+
+def test_texts_of_many_slugs_take_few_folders(spark, tmp_path):
+    """Slugs with any character; a second run replaces its own; plain files in and out."""
+    path = str(tmp_path / "texts")
+    many = spark.range(3000).select(F.concat(F.lit("Place / "), F.col("id").cast("string")).alias("query"), F.concat(F.lit("line\n"), "id", F.lit("\n")).alias("text"))
+    files.write_articles(many, path)
+    files.write_articles(many.limit(5).withColumn("text", F.lit("new")), path)
+    got = files.read_texts(spark, path)
+    assert got.count() == 3000 and got.where("text = 'new'").count() == 5 and got.where("text like 'line%\n'").count() == 2995
+    assert len(list((tmp_path / "texts").rglob("bucket=*"))) <= 2 * tables.BUCKETS
+    out = tmp_path / "files"
+    files.export_files(got.where("text = 'new'"), str(out))
+    assert len(list(out.glob("slug=*"))) == 5
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "tea_hut.txt").write_text("BASE_URL: http://t\nPAGES_SCRAPED: a\n\n" + files.RULE + "\n--- Source: http://t/a ---\nText\n" + files.RULE + "\n")
+    (tmp_path / "raw" / "zoo.txt").write_text("Lead.\n== History ==\nOld.")
+    rows = {r.slug: (r.base_url, r.page_url, r.text) for r in files.site_pages(files.read_text_files(spark, str(tmp_path / "raw"))).collect()}
+    assert rows == {"tea_hut": ("http://t", "http://t/a", "Text"), "zoo": (None, None, "Lead.\n== History ==\nOld.")}
