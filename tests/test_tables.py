@@ -395,3 +395,30 @@ def test_texts_of_many_slugs_take_few_folders(spark, tmp_path):
     (tmp_path / "raw" / "zoo.txt").write_text("Lead.\n== History ==\nOld.")
     rows = {r.slug: (r.base_url, r.page_url, r.text) for r in files.site_pages(files.read_text_files(spark, str(tmp_path / "raw"))).collect()}
     assert rows == {"tea_hut": ("http://t", "http://t/a", "Text"), "zoo": (None, None, "Lead.\n== History ==\nOld.")}
+
+
+def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path):
+    """Blocks of a few hundred bytes: records with quoted line ends, quotes and commas over several of them."""
+    import csv as lib
+
+    rng = random.Random(9)
+    rows = []
+    for i in range(300):
+        text = "".join(rng.choice(['a "word" ', "line\nend ", "x,y ", "\r\n", "é", "\n\n"]) for _ in range(rng.randint(0, 120)))
+        rows.append([f"B{i}", f"U{i % 5}", f"t{text}.", "p", str(i), "taste"])
+    with open(tmp_path / "big.csv", "w", newline="", encoding="utf-8-sig") as f:
+        out = lib.writer(f)
+        out.writerow(["business_name", "author_name", "text", "photo", "rating", "rating_category"])
+        out.writerows(rows)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 700)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        assert spark.read.text(str(tmp_path / "big.csv")).rdd.getNumPartitions() > 100
+        got = csv.read_alt_reviews(spark, str(tmp_path / "big.csv")).collect()
+        order = [r.record[:3].strip('",B') for r in csv.read_records(spark, str(tmp_path / "big.csv")).orderBy("row").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted((r.business_name, r.author_name, r.text, r.rating) for r in got) == sorted((r[0], r[1], r[2], float(r[4])) for r in rows)
+    assert order[0].startswith("bus") and len(order) == 301 and order[1:4] == ["0", "1", "2"]
