@@ -250,6 +250,32 @@ def test_best_article(spark):
     assert sorted((r.query_id, r.doc_id, r.score > 0) for r in got) == [(1, 7, True), (2, 0, False)]
 
 
+def test_best_article_equals_the_full_sum(spark):
+    """Random queries of rare and common words; most postings of common words are never opened."""
+    import math
+    from collections import Counter
+
+    rng = random.Random(12)
+    pool = [f"w{int(rng.paretovariate(0.6)) % 400}" for _ in range(4000)]
+    docs = {i: " ".join(rng.choices(pool, k=30)) for i in range(300)}
+    asked = {i: " ".join(rng.choices(pool, k=rng.randint(1, 12))) for i in range(80)} | {900: "unheard", 901: "", 902: None}
+    df = Counter(w for t in docs.values() for w in set(t.split()))
+    want = {}
+    for q, t in asked.items():
+        words = [w for w in set((t or "").split()) if w in df]
+        scores = {i: round(sum(math.log(300 / df[w]) for w in words if w in set(d.split())), 6) for i, d in docs.items() if set(d.split()) & set(words)}
+        if scores:
+            want[q] = min(scores.items(), key=lambda x: (-x[1], x[0]))
+    q = spark.createDataFrame(list(asked.items()), "query_id bigint, text string")
+    d = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    got = {r.query_id: (r.doc_id, r.score) for r in context.best_article(q, d).collect()}
+    assert got.keys() == want.keys() and all(got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1], abs=2e-6) for i in want)
+    words = q.select("query_id", F.explode(F.array_distinct(F.split("text", " "))).alias("token"))
+    stats = spark.createDataFrame(list(df.items()), "token string, df bigint")
+    opened = {r.needed: r.n for r in context.weighed_words(words, stats, 300).join(stats, "token").groupBy("needed").agg(F.sum("df").alias("n")).collect()}
+    assert opened[True] < 0.5 * opened[False]
+
+
 def test_lexicon_of_any_size_and_deep_taxonomy(spark):
     from reviewmill.operators import aspects, cluster
 
