@@ -351,7 +351,8 @@ def f11_features(spark: SparkSession, sf: str) -> DataFrame:
  SELECT d.doc_id AS review_id, source AS place_id, lang AS user_id, entropy_score, sentiment_polarity, pos_diversity, noun_verb_ratio,
  round({COVERED} / 4.0::DOUBLE, 6) AS coverage_score,
  round(coalesce(g, 0), 6)::DOUBLE AS grounding_score, len({sql(WORDS)}) AS token_count, len(regexp_extract_all(text, '!')) AS exclamation_count,
- round(1 - len(list_distinct({sql(WORDS)}))::DOUBLE / len({sql(WORDS)}), 6)::DOUBLE AS repetition_score, md5(text) AS text_md5, 'documents' AS source
+ round(1 - len(list_distinct({sql(WORDS)}))::DOUBLE / len({sql(WORDS)}), 6)::DOUBLE AS repetition_score, md5(text) AS text_md5, 'documents' AS source,
+ lang AS user_name, 4.0::DOUBLE AS rating, lang AS language, '2026-02-09 12:00:00.000000' AS timestamp, len(regexp_extract_all(text, '{features.EMOJI_CLASS}')) AS emoji_count
  FROM documents d JOIN tf USING (doc_id) JOIN g USING (doc_id) JOIN c USING (doc_id)""",
 )
 def f12(spark: SparkSession, sf: str) -> DataFrame:
@@ -369,7 +370,7 @@ def f12(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(
         "review_id", "place_id", "user_id", "entropy_score", "sentiment_polarity", "pos_diversity", "noun_verb_ratio",
         "coverage_score", "grounding_score", "token_count", "exclamation_count", "repetition_score",
-        F.md5("text_chunk").alias("text_md5"), "source",
+        F.md5("text_chunk").alias("text_md5"), "source", "user_name", "rating", "language", "timestamp", "emoji_count",
     )
 
 

@@ -106,7 +106,7 @@ _text_query("c11_drop_punct_tokens", "documents", "doc_id", "text", T.drop_punct
 CORE_SQL = sql(EMOJI, UNDERSCORE, WS, PUNCT, ASCII, text="sq")
 
 
-def _chain(source: str, key: str, col: str, extra: str = "") -> str:
+def chain_sql(source: str, key: str, col: str, extra: str = "") -> str:
     low = sql(LOWER, URLS, TAGS, text=col)
     return (
         f"SELECT {key}, {extra} {CORE_SQL} AS core FROM (SELECT *, {sql(SQUEEZE, text='low')} AS sq "
@@ -117,7 +117,7 @@ def _chain(source: str, key: str, col: str, extra: str = "") -> str:
 @register(
     "c13_clean_core",
     f"SELECT page_id, md5(c) AS out_md5, length(c) AS out_len FROM (SELECT page_id, "
-    f"{sql(PUNCT_TOKENS, WS, text='core')} AS c FROM ({_chain('pages', 'page_id', 'html')}))",
+    f"{sql(PUNCT_TOKENS, WS, text='core')} AS c FROM ({chain_sql('pages', 'page_id', 'html')}))",
 )
 def c13_clean_core(spark: SparkSession, sf: str) -> DataFrame:
     """The chain over raw pages, which hold URLs, tags, entities and marks."""
@@ -231,7 +231,7 @@ def p10_nonblank(spark: SparkSession, sf: str) -> DataFrame:
 # --- spelling -------------------------------------------------------------
 
 MIN_FREQ = 30
-_TOKENS = f"""core AS ({_chain('documents', 'doc_id', 'text')}),
+_TOKENS = f"""core AS ({chain_sql('documents', 'doc_id', 'text')}),
 toks AS (SELECT doc_id, row_number() OVER () AS rn, w FROM (SELECT doc_id, unnest({sql(WORDS, text='core')}) AS w FROM core)
  WHERE regexp_matches(w, '[a-zA-Z0-9_]') OR (starts_with(w,'[') AND ends_with(w,']'))),
 cores AS (SELECT word, count(*) AS freq FROM (SELECT regexp_replace(w, '^[^a-zA-Z0-9_]+|[^a-zA-Z0-9_]+$', '', 'g') AS word
