@@ -13,6 +13,11 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_shard_label_propagation(spark: SparkSession, sf: str) -> DataFrame:
+    """Shards 0 to 7 under the law ``rows``.
+
+    Null and empty texts have size 1 and count as equal texts; null ids and repeated rows are rows of their own; an
+    empty table gives none.
+    """
     text = F.coalesce("text", F.lit(""))
     rows = cut(read(spark, sf, "documents").select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
@@ -26,6 +31,10 @@ def op1_shard_label_propagation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Token ids of every whole text and back.
+
+    A null text is an empty one, without tokens; every row is a row, an empty table gives none.
+    """
     import public_tokenizers as vocab
 
     docs = read(spark, sf, "documents").select("doc_id", F.col("text").alias("decoded"))
@@ -35,6 +44,11 @@ def op2_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_simhash_pivots(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints and components.
+
+    Null and empty texts have fingerprint zero and link like any other; every row is a row, and a null id names a
+    component only where it has no other id.
+    """
     found = simhash.near_duplicates(read(spark, sf, "documents"))
     return found.select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -43,12 +57,22 @@ def op3_simhash_pivots(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_toxicity_ordinal(spark: SparkSession, sf: str) -> DataFrame:
+    """Expected severity and grade of every text.
+
+    Null and empty texts have no feature and get the severity of the cuts; equal texts are graded alike, an empty
+    table gives no rows.
+    """
     docs = read(spark, sf, "documents")
     model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     return toxicity.grade(docs.select("doc_id", "text"), "text", model).select("doc_id", "severity", "grade", "toxic")
 
 
 def op5_quality_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    """Base rules and robust outliers.
+
+    Null and empty texts have no words and fail the base rules; null languages and sources are groups of their own,
+    small groups are judged with their language, or all; equal rows fare alike.
+    """
     return outliers.rules(read(spark, sf, "documents")).select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", F.col("d2").alias("distance"),
@@ -56,12 +80,22 @@ def op5_quality_outliers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_substring_suffix_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """Words left after removing repeated windows.
+
+    Null and empty texts have none; a null id is the smallest; equal ids with other texts are other documents, rows
+    repeated whole the same one.
+    """
     return suffixes.remove_repeats(read(spark, sf, "documents")).select(
         F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
 
 
 def op7_quality_subword(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality scores.
+
+    Null and empty texts are scored too, without features; equal texts score alike, null labels and ids are not
+    learnt from, and a null id has no held_out.
+    """
     docs = read(spark, sf, "documents")
     model = subword.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     return subword.score(docs.select("doc_id", "text"), "text", model).select(
@@ -71,11 +105,21 @@ def op7_quality_subword(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_nearest_hnsw(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearest found neighbours of every hundredth vector.
+
+    Unusable vectors and null ids take no part; rows of one id and vector are one, equal vectors are neighbours at
+    distance zero; vectors of other lengths never meet.
+    """
     vectors = hnsw.usable(read(spark, sf, "embeddings"), "vec_id", "embedding")
     return hnsw.nearest(vectors, vectors.where("id % 100 = 0")).withColumnRenamed("id", "vec_id")
 
 
 def op9_mix_hash_thresholds(spark: SparkSession, sf: str) -> DataFrame:
+    """Words taken per row.
+
+    Null texts have size 0, null sources are a source of their own, sorted last; equal rows are taken alike; an
+    empty table gives none.
+    """
     return mixing.mix(read(spark, sf, "documents")).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
     )
@@ -86,6 +130,10 @@ def secret_table(docs: DataFrame) -> list[float]:
 
 
 def op10_secrets_markov(spark: SparkSession, sf: str) -> DataFrame:
+    """Secret spans of every text.
+
+    Null texts are empty and have none; every row is a row, equal texts alike.
+    """
     docs = read(spark, sf, "documents").select("doc_id", "text")
     found = secret_scan.scan(docs, "text", secret_table(docs))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
