@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bounds of the memo tables of one Python worker.  Full tables of states and pairs are emptied and filled anew,
-# of the pieces those used since the table before was full stay.
+# Bounds of the memo tables of one Python worker, about 150 MB; ``memo`` multiplies them.  Full tables of states and
+# pairs are emptied and filled anew, of the pieces those used since the table before was full stay.
 MAX_STATES = 100_000
 MAX_PAIRS = 250_000
 MAX_PIECES = 200_000
@@ -45,8 +45,9 @@ class Transducer:
     longest token.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], memo: float = 1.0):
         self.ranks = ranks
+        self.most_states, self.most_pairs = int(MAX_STATES * memo), int(MAX_PAIRS * memo)
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.child: dict[int, int] = {}  # 256 * node + byte -> node
         self.token = [-1]
@@ -125,7 +126,7 @@ class Transducer:
         pair = (last + 1) << 32 | token
         good = self.pairs.get(pair)
         if good is None:
-            if len(self.pairs) >= MAX_PAIRS:
+            if len(self.pairs) >= self.most_pairs:
                 self.pairs.clear()
             good = self.pairs[pair] = self.fits(-1, token) and self.fits(last, token)
         return good
@@ -177,7 +178,7 @@ class Transducer:
             at = 256 * state + byte
             state = steps.get(at, -1)
             if state < 0:
-                if len(self.states) >= MAX_STATES:
+                if len(self.states) >= self.most_states:
                     at = 256 * self._reset(self.states[at >> 8]) + byte
                     steps, emits = self.steps, self.emits
                 state = self._step(at >> 8, byte)
@@ -194,9 +195,9 @@ class Transducer:
 class Pieces(dict):
     """Packed ids by piece of text; the machine runs for pieces not seen lately."""
 
-    def __init__(self, machine: Transducer):
+    def __init__(self, machine: Transducer, memo: float = 1.0):
         super().__init__()
-        self.machine = machine
+        self.machine, self.most = machine, int(MAX_PIECES * memo)
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -206,7 +207,7 @@ class Pieces(dict):
             if sys.byteorder == "big":
                 packed = np.frombuffer(packed, ">u4").astype("<u4").tobytes()
         if len(piece) <= 64:
-            if len(self) >= MAX_PIECES:
+            if len(self) >= self.most:
                 self.before = dict(self)
                 self.clear()
             self[piece] = packed
@@ -301,9 +302,9 @@ def _made(kind: str, raw: bytes, make):
     return _MADE[key]
 
 
-def _encoder(raw: bytes, pattern: str):
+def _encoder(raw: bytes, pattern: str, memo: float):
     gc.set_threshold(200_000, 20, 100)  # the memo tables are many small tuples without cycles
-    look = _made("pieces", raw, lambda r: Pieces(Transducer(parse_ranks(r)))).__getitem__
+    look = _made(f"pieces {memo}", raw, lambda r: Pieces(Transducer(parse_ranks(r), memo), memo)).__getitem__
     find = regex.compile(pattern).findall
     return lambda text: b"".join(map(look, find(text or "")))
 
@@ -356,18 +357,18 @@ def _shared(docs: DataFrame, ranks_file: str):
         return docs.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, text_col: str, ranks_file: str, pattern: str, out: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, text_col: str, ranks_file: str, pattern: str, out: str = "ids", memo: float = 1.0) -> DataFrame:
     """``docs`` with n_tokens (long) and ``out`` (binary: ids as little-endian unsigned 32-bit integers).
 
     Every match of ``pattern`` is encoded on its own, without special tokens.
     Null and empty texts give no tokens.  The rank file is read once on the
-    driver; workers keep memo tables of bounded size, so texts and pieces of any
-    length run in memory of the text itself.
+    driver; workers keep memo tables of bounded size (``memo`` times the usual
+    one), so texts and pieces of any length run in memory of the text itself.
     """
     raw = _shared(docs, ranks_file)
 
     def make():
-        code = _encoder(raw.value, pattern)
+        code = _encoder(raw.value, pattern, memo)
         return lambda text: (len(ids := code(text)) // 4, ids)
 
     return _with(docs, text_col, make, [T.StructField("n_tokens", T.LongType()), T.StructField(out, T.BinaryType())])
@@ -385,13 +386,14 @@ def decode(docs: DataFrame, ids_col: str, ranks_file: str, out: str = "decoded",
 
 
 def round_trip(
-    docs: DataFrame, text_col: str, ranks_file: str, pattern: str, out: str = "ids", back: str = "decoded", block: int = 65_536
+    docs: DataFrame, text_col: str, ranks_file: str, pattern: str, out: str = "ids", back: str = "decoded", block: int = 65_536,
+    memo: float = 1.0,
 ) -> DataFrame:
     """``docs`` with n_tokens, ``out`` and, decoded from it, ``back``: ``encode`` and ``decode`` in one pass of one worker."""
     raw = _shared(docs, ranks_file)
 
     def make():
-        code, text_of = _encoder(raw.value, pattern), _decoder(raw.value, block)
+        code, text_of = _encoder(raw.value, pattern, memo), _decoder(raw.value, block)
         return lambda text: (len(ids := code(text)) // 4, ids, text_of(ids))
 
     return _with(docs, text_col, make, [

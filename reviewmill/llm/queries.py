@@ -38,7 +38,8 @@ def op2_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers as vocab
 
     docs = read(spark, sf, "documents").select("doc_id", F.col("text").alias("decoded"))
-    return bpe.round_trip(docs, "decoded", vocab.path(VOCABULARY), vocab.PATTERN).select(
+    # nothing else runs in these workers, so there is memory for larger tables
+    return bpe.round_trip(docs, "decoded", vocab.path(VOCABULARY), vocab.PATTERN, memo=2.5).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
