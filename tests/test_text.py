@@ -164,6 +164,17 @@ def test_long_words_meet_in_segments(spark):
     assert got == {(a, w) for a, w in asked.items() if a != w}
 
 
+def test_keys_of_many_words_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """A small file of words holds some 60 keys a word; neither side goes through the driver."""
+    monkeypatch.setattr(spell, "MAX_KEYS", 1000)
+    rows = spark.range(2000).select(F.substring(F.md5(F.col("id").cast("string")), 1, 9).alias("word"), F.lit(1).cast("bigint").alias("freq"))
+    rows.write.parquet(str(tmp_path / "words"))
+    words = spark.read.parquet(str(tmp_path / "words"))
+    pairs = spell.key_pairs(words.select(F.concat(F.substring("word", 1, 8), F.lit("xy")).alias("word")), words)
+    assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert pairs.where("substring(word, 1, 8) = substring(candidate, 1, 8)").count() >= 2000
+
+
 def test_language(spark):
     rows = [("en", "the cat and the dog with the hat"), ("de", "der hund und die katze mit dem hut")]
     model = language.language_model(spark.createDataFrame(rows, "lang string, text string"))
