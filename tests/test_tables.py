@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import datetime
 
 import numpy as np
@@ -448,3 +449,13 @@ def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sorted((r.business_name, r.author_name, r.text, r.rating) for r in got) == sorted((r[0], r[1], r[2], float(r[4])) for r in rows)
     assert order[0].startswith("bus") and len(order) == 301 and order[1:4] == ["0", "1", "2"]
+
+
+def test_tasks_of_token_counts_follow_the_texts(spark):
+    """Tokens are counted in memory, so twice the texts are twice the tasks."""
+    words = spark.createDataFrame([("a", 1.0, "NN")], "word string, score double, pos string")
+    for splits in (10, 20):
+        texts = spark.range(0, 40, 1, splits).select("id", F.lit("a b").alias("text"))
+        out = features.token_features(texts, words.select("word", "score"), words.select("word", "pos"))
+        assert f"hashpartitioning(id, {splits * 16})" in re.sub(r"#\d+L?", "", out._jdf.queryExecution().executedPlan().toString())
+        assert out.where("sentiment_polarity = 1").count() == 40
