@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.plans.skew import broadcast_if_small
-
+from reviewmill.plans.skew import broadcast_if_small, text_tasks
+from reviewmill.plans.storage import cut
 
 
 def char_ngrams(c: Column, n: int = 3) -> Column:
@@ -34,13 +34,17 @@ def language_model(labelled: DataFrame, n: int = 3) -> DataFrame:
 def detect_language(df: DataFrame, model: DataFrame) -> DataFrame:
     """(id, language): the language whose profile covers the text best.
 
-    A text's score for a language is the summed weight of its n-grams.  A small
-    model is broadcast, so the n-grams are never shuffled; with a larger one each
-    text's n-grams are counted first.  A text without any known n-gram gets ``""``.
+    A text's score for a language is the summed weight of its n-grams.  Texts are
+    placed by id once and their n-grams counted there; a small model is broadcast,
+    so the n-grams are never shuffled.  With a larger one the counts are.  A text
+    without any known n-gram gets ``""``.
     """
-    grams = gram_counts(df.select("id", "text"), "id").withColumnRenamed("n", "_times")
+    placed = df.select("id", "text").repartition(text_tasks(df), "id")
+    grams = gram_counts(placed, "id").withColumnRenamed("n", "_times")
+    # written, as its size is asked before it is used
+    profiles = broadcast_if_small(cut(model, "model"))
     scored = (
-        grams.join(broadcast_if_small(model), "gram")
+        grams.join(profiles, "gram")
         .groupBy("id", "lang")
         .agg(F.round(F.sum(F.col("weight") * F.col("_times")), 9).alias("s"))
     )

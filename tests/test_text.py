@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 import pytest
@@ -180,3 +181,15 @@ def test_language(spark):
     model = language.language_model(spark.createDataFrame(rows, "lang string, text string"))
     asked = spark.createDataFrame([(1, "the dog"), (2, "und der hund"), (3, "xq")], "id bigint, text string")
     assert {r.id: r.language for r in language.detect_language(asked, model).collect()} == {1: "en", 2: "de", 3: ""}
+
+
+def test_ngrams_of_a_text_are_counted_where_it_lies(spark):
+    """With a small model the texts are shuffled once and their n-grams never; the tasks follow the splits."""
+    model = language.language_model(spark.createDataFrame([("en", "the cat"), ("de", "der hund")], "lang string, text string"))
+    for splits in (5, 10):
+        texts = spark.range(0, 10, 1, splits).select("id", F.lit("the cat").alias("text"))
+        found = language.detect_language(texts, model)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert re.search(rf"hashpartitioning\(id#\d+L?, {splits * 16}\)", plan)
+        assert not re.search(r"hashpartitioning\(id#\d+L?, gram", plan)
+        assert {r.language for r in found.collect()} == {"en"}
