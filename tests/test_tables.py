@@ -244,6 +244,16 @@ def test_feature_columns(spark):
     assert (found.x, found.e) == (2, 2)
 
 
+def test_grounding_of_texts_without_words_and_of_rare_and_frequent_ones(spark, monkeypatch):
+    rows = [(1, "p", "!!! --- *"), (2, "p", "a B, c"), (3, "p", None), (4, None, "a"), (5, "p", ""), (6, "q", "a zz"), (2, "p", "a")]
+    texts = spark.createDataFrame(rows, "id long, place_id string, text string")
+    sources = spark.createDataFrame([("p", "A b"), ("p", "a ..."), ("q", None), (None, "a")], "place_id string, text string")
+    for most in (200_000, 3, 1):  # all words are frequent, then some, then none
+        monkeypatch.setattr(features, "BROADCAST_ROWS", most)
+        got = {r.id: r.grounding_score for r in features.grounding(texts, sources).collect()}
+        assert got == {1: 0.0, 2: 0.75, 3: 0.0, 4: 0.0, 5: 0.0, 6: 0.0}
+
+
 def test_best_article(spark):
     docs = [(i, "common " + " ".join(f"w{i}_{j}" for j in range(3))) for i in range(20)]
     q = spark.createDataFrame([(1, "common w7_1 w7_2 w3_0"), (2, "common")], "query_id bigint, text string")
