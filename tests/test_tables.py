@@ -244,6 +244,17 @@ def test_feature_columns(spark):
     assert (found.x, found.e) == (2, 2)
 
 
+def test_distinct_words_are_the_forms_of_all_texts(spark):
+    from reviewmill.operators import aspects
+
+    rows = [("p", "A, b 'A' --- b\tÉté"), ("q", "b."), (None, "x"), ("p", None), ("q", "")]
+    df = spark.createDataFrame(rows, "place string, text string")
+    want = {(r.place, w) for r in df.select("place", aspects.word_forms(F.col("text")).alias("w")).collect() for w in r.w or ()}
+    got = [tuple(r) for r in aspects.distinct_words(df, ["place"], "word").collect()]
+    assert set(got) == want and len(got) == len(want) == 5
+    assert {r.word for r in aspects.distinct_words(df, [], "word").collect()} == {"a", "b", "été", "x"}
+
+
 def test_grounding_of_texts_without_words_and_of_rare_and_frequent_ones(spark, monkeypatch):
     rows = [(1, "p", "!!! --- *"), (2, "p", "a B, c"), (3, "p", None), (4, None, "a"), (5, "p", ""), (6, "q", "a zz"), (2, "p", "a")]
     texts = spark.createDataFrame(rows, "id long, place_id string, text string")
