@@ -7,7 +7,8 @@ per table and bucket, the number to read.  Readers follow the newest record
 only, so a load that dies half way changes nothing; the next one takes the same
 number and overwrites what is left of it.  A table in ``GROWING`` only takes new
 rows: its numbers hold what their loads added, and it is all numbers up to the
-record's.  Loads of one store come one after the other; of two that overlap the
+record's.  A load may also add rows to buckets of another table; the record then
+lists all numbers to read for them.  Loads of one store come one after the other; of two that overlap the
 second fails when it commits.
 """
 
@@ -33,7 +34,7 @@ class Snapshot(NamedTuple):
     """What a commit record says; ``epochs`` holds the last epoch applied per stream."""
 
     version: int
-    tables: dict[str, list[int]]
+    tables: dict[str, list[int | list[int]]]
     epochs: dict[str, int]
 
 
@@ -145,6 +146,11 @@ def touched(df: DataFrame, key: str) -> list[int]:
     return sorted(r[0] for r in df.select(bucket(key)).distinct().collect())
 
 
+def _listed(said: int | list[int]) -> list[int]:
+    """The numbers that a record names for a bucket; -1 stands for none."""
+    return [v for v in (said if isinstance(said, list) else [said]) if v >= 0]
+
+
 def read_store(
     spark: SparkSession, base: str, table: str, at: Snapshot | None = None, buckets: list[int] | None = None, schema: str | None = None
 ) -> DataFrame:
@@ -157,18 +163,20 @@ def read_store(
             return spark.createDataFrame([], schema)
         rows = spark.read.schema(f"{schema}, v int, bucket int").parquet(f"{base}/{table}").where(F.col("v") <= at.version)
         return (rows if buckets is None else rows.where(F.col("bucket").isin(sorted(wanted)))).drop("v", "bucket")
-    paths = [f"{base}/{table}/v={v}/bucket={b}" for b, v in enumerate(at.tables.get(table, [])) if v >= 0 and b in wanted]
+    numbers = [(b, v) for b, said in enumerate(at.tables.get(table, [])) for v in _listed(said) if b in wanted]
+    paths = [f"{base}/{table}/v={v}/bucket={b}" for b, v in numbers]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def write_load(
     spark: SparkSession, base: str, at: Snapshot, tables: dict[str, DataFrame], keys: dict[str, str] = KEYS,
-    buckets: dict[str, list[int]] | None = None, epoch: tuple[str, int] | None = None,
+    buckets: dict[str, list[int]] | None = None, epoch: tuple[str, int] | None = None, adds: tuple[str, ...] = (),
 ) -> Snapshot:
     """Write ``tables`` as the load after ``at`` and commit them together.
 
     A table that is not growing gives the whole new content of its ``buckets``
-    (of all buckets it has rows in, if not named).
+    (of all buckets it has rows in, if not named); one in ``adds`` gives rows to
+    add to what its buckets hold.
     """
     version = at.version + 1
     state = dict(at.tables)
@@ -178,6 +186,9 @@ def write_load(
         if name not in GROWING:
             mine = _numbers(spark, f"{base}/{name}/v={version}", "bucket=")
             old = state.get(name, [-1] * BUCKETS)
+            if name in adds:
+                state[name] = [[*_listed(v), version] if b in mine else v for b, v in enumerate(old)]
+                continue
             state[name] = [version if b in mine else -1 if b in (buckets or {}).get(name, []) else v for b, v in enumerate(old)]
     epochs = at.epochs if epoch is None else {**at.epochs, epoch[0]: epoch[1]}
     new = Snapshot(version, state, epochs)

@@ -34,6 +34,23 @@ def stream_reviews(
     return reader.parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
 
 
+def _marks(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``_k0``, ``_k1``, ...: the keys, texts as the 16 bytes of a digest."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({f"_k{i}": F.unhex(F.md5(k)) if kinds[k] == "string" else F.col(k) for i, k in enumerate(keys)})
+
+
+def _fresh(batch: DataFrame, keys: list[str], seq: str, stored: DataFrame) -> DataFrame:
+    """The first row of every key that ``stored`` lacks.
+
+    Rows are dealt by their marks once, for the choice and for the comparison;
+    of what is stored only marks move, as every epoch compares with all of it.
+    """
+    marks = [f"_k{i}" for i in range(len(keys))]
+    first = first_per_key(_marks(batch, keys), marks, seq)
+    return first.join(_marks(stored.select(*keys), keys).select(*marks), marks, "left_anti").select(*batch.columns)
+
+
 def append_epoch(batch: DataFrame, base: str, epoch: int, keys: list[str], seq: str, stream: str = "default") -> None:
     """Add the first row of every key that no earlier epoch stored to the table ``rows``; an epoch counts once."""
     spark = batch.sparkSession
@@ -41,9 +58,8 @@ def append_epoch(batch: DataFrame, base: str, epoch: int, keys: list[str], seq:
     if epoch <= at.epochs.get(stream, -1):
         return
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema)
-    first = cut(first_per_key(batch, keys, seq), "first")
-    stored = read_store(spark, base, "rows", at, touched(first, keys[0]), schema)
-    fresh = first.join(stored.select(*keys), keys, "left_anti").select(*batch.columns)
+    stored = read_store(spark, base, "rows", at, touched(batch, keys[0]), schema)
+    fresh = _fresh(batch, keys, seq, stored)
     write_load(spark, base, at, {"rows": fresh}, {"rows": keys[0]}, epoch=(stream, epoch))
 
 
@@ -52,7 +68,8 @@ def upsert_epoch(batch: DataFrame, base: str, epoch: int, seq: str = "seq", stre
 
     ``batch`` has the review columns, ``place_name`` and the order column.  Only
     reviews the store lacks count: their ratings join the place's mean and
-    number, and their ids follow the user's list as further parts.  The commit
+    number, and their ids are added to the user's list as further parts; the
+    parts that are there are not written again.  The commit
     that makes them visible also notes the epoch of its ``stream``: an epoch
     that died before it starts over from the last commit, one that comes again
     after it changes nothing.
@@ -61,9 +78,8 @@ def upsert_epoch(batch: DataFrame, base: str, epoch: int, seq: str = "seq", stre
     at = snapshot(spark, base)
     if epoch <= at.epochs.get(stream, -1):
         return
-    first = cut(first_per_key(batch, ["review_id"], seq), "first")
-    stored = read_store(spark, base, "review", at, touched(first, "review_id")).select("review_id")
-    fresh = cut(first.join(stored, "review_id", "left_anti"), "fresh")
+    stored = read_store(spark, base, "review", at, touched(batch, "review_id"))
+    fresh = cut(_fresh(batch, ["review_id"], seq, stored), "fresh")
     mine = {"place": touched(fresh, "place_id"), "users": touched(fresh, "user_id")}
 
     old = read_store(spark, base, "place", at, mine["place"])
@@ -87,8 +103,8 @@ def upsert_epoch(batch: DataFrame, base: str, epoch: int, seq: str = "seq", stre
         "part": (F.col("part") + F.coalesce(F.col("_part") + 1, F.lit(0))).cast("int"), "name": F.coalesce("_name", "name"),
     })
     columns = [c.split()[0] for c in schemas.REVIEW.split(", ")]
-    tables = {"place": places, "users": lists.unionByName(users.select(*lists.columns)), "review": fresh.select(*columns)}
-    write_load(spark, base, at, tables, buckets=mine, epoch=(stream, epoch))
+    tables = {"place": places, "users": users.select(*lists.columns), "review": fresh.select(*columns)}
+    write_load(spark, base, at, tables, buckets=mine, epoch=(stream, epoch), adds=("users",))
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:

@@ -365,6 +365,27 @@ def test_a_load_that_dies_half_way_changes_nothing(spark, tmp_path, monkeypatch)
         assert state(spark, base) == state(spark, whole)
 
 
+def test_an_epoch_adds_to_lists_and_moves_marks_of_stored_keys_only(spark, tmp_path):
+    base = str(tmp_path / "db")
+    batch = lambda *i: spark.createDataFrame([review(x, user="u0") for x in i], EPOCH)
+    for epoch, ids in enumerate([(1, 2), (2, 3, 3), (4,), (1, 4)]):
+        streaming.upsert_epoch(batch(*ids), base, epoch)
+    listed = tables.snapshot(spark, base).tables["users"]
+    assert [v for v in listed if v != -1] == [[0, 1, 2]]
+    parts = tables.read_store(spark, base, "users").orderBy("part").collect()
+    assert [(r.part, sorted(r.reviews)) for r in parts] == [(0, ["r1", "r2"]), (1, ["r3"]), (2, ["r4"])]
+    # no earlier part is in a later load's files
+    assert spark.read.parquet(f"{base}/users/v=2").count() == 1
+    tables.store_rows(base, users=spark.createDataFrame([("u0", "N", 0, ["r9"])], schemas.USERS))
+    assert [r.reviews for r in tables.read_store(spark, base, "users").collect()] == [["r9"]]
+    rows, schema = [("a", None, 1, 1.0), ("a", 2, 0, 2.0), (None, 1, 3, 3.0), (None, 1, 2, 4.0), ("b", 2, 5, 5.0)], "k string, n long, seq long, x double"
+    kept = str(tmp_path / "rows")
+    for epoch in range(2):
+        streaming.append_epoch(spark.createDataFrame(rows, schema), kept, epoch, ["k", "n"], "seq")
+    got = sorted(r.x for r in tables.read_store(spark, kept, "rows", schema=schema).collect())
+    assert got == [1.0, 1.0, 2.0, 4.0, 4.0, 5.0]  # keys with a null part equal no stored key
+
+
 def test_an_epoch_counts_once(spark, tmp_path, monkeypatch):
     """Run again after its commit, or after it died before; tables of uneven age are no hindrance."""
     base = str(tmp_path / "db")
