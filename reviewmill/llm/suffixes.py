@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import accumulate, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -93,7 +93,7 @@ def _prefixes(docs: DataFrame, depth: int) -> DataFrame:
 
 
 def _suffixes(docs: DataFrame, depth: int) -> DataFrame:
-    """(key, id, pos, off, words): the text around the anchors named in ``at``.
+    """(key, id, pos, off, wins, words): the text around the anchors named in ``at``; ``wins`` windows begin in it.
 
     A prefix shared by at most GROUP anchors sends one row with all windows of
     the anchor; a more frequent one is lengthened to the whole window, so each
@@ -110,11 +110,11 @@ def _suffixes(docs: DataFrame, depth: int) -> DataFrame:
                 continue
             lo, hi, k = found[place["pos"]]
             if place["n"] <= GROUP:
-                yield k, i, place["pos"], place["pos"] - lo, b" ".join(words[lo : hi + depth])
+                yield k, i, place["pos"], place["pos"] - lo, hi - lo + 1, b" ".join(words[lo : hi + depth])
             else:
                 for w in range(lo, hi + 1):
                     line = b" ".join(words[w : w + depth])
-                    yield xxhash.xxh64_intdigest(line, 1) - (1 << 63), i, w, 0, line
+                    yield xxhash.xxh64_intdigest(line, 1) - (1 << 63), i, w, 0, 1, line
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -127,17 +127,19 @@ def _suffixes(docs: DataFrame, depth: int) -> DataFrame:
                         out = []
             yield batch(out)
 
-    kinds = [("key", pa.int64()), ("id", pa.int64()), ("pos", pa.int32()), ("off", pa.int32()), ("words", pa.binary())]
+    kinds = [("key", pa.int64()), ("id", pa.int64()), ("pos", pa.int32()), ("off", pa.int32()), ("wins", pa.int32()), ("words", pa.binary())]
 
     def batch(out: list[tuple]) -> pa.RecordBatch:
         cols = list(zip(*out, strict=True)) or [[]] * len(kinds)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(cols, kinds, strict=True)], [n for n, _ in kinds])
 
-    return docs.mapInArrow(run, "key long, id long, pos int, off int, words binary")
+    return docs.mapInArrow(run, "key long, id long, pos int, off int, wins int, words binary")
 
 
 def shared_words(a: bytes, b: bytes) -> int:
     """Words that two suffixes have in common from their start; a blank ends every word, the last one too."""
+    if b.startswith(a) or a.startswith(b):
+        return min(a, b, key=len).count(b" ")
     n = min(len(a), len(b))
     differ = np.flatnonzero(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n))
     return a.count(b" ", 0, int(differ[0]) if len(differ) else n)
@@ -178,9 +180,9 @@ def tree_repeats(group: list[tuple], depth: int) -> list[int]:
         return masks
     suffixes = []
     for r, (line, off, i, pos) in enumerate(group):
+        starts = [0, *accumulate(len(word) + 1 for word in line.split(b" "))]
+        ends = starts[1:]
         line += b" "
-        ends = [j + 1 for j, c in enumerate(line) if c == 32]
-        starts = [0, *ends]
         for w in range(len(ends) - depth + 1):
             suffixes.append((line[starts[w] :], i, pos - off + w, r, w, ends[w + depth - 1] - starts[w]))
     suffixes.sort()
@@ -240,13 +242,10 @@ def repeated_windows(docs: DataFrame, depth: int = 20) -> DataFrame:
     firsts = cut(firsts.select("key", "ck", "n", "words", "off", "first.*"), "distinct")
     discard()
     trees = cut(_trees(firsts, depth), "trees")
-    known = cut(
-        firsts.select("ck", "n", F.col("id").alias("_id"), F.col("pos").alias("_pos"), (F.length("words")).alias("_len"))
-        .join(trees, "ck"), "masks",
-    )
+    discard()
+    known = cut(firsts.select("ck", "n", F.col("id").alias("_id"), F.col("pos").alias("_pos")).join(trees, "ck"), "masks")
     discard(firsts, trees)
-    blanks = F.length(F.regexp_replace(F.decode("words", "ISO-8859-1"), "[^ ]+", ""))
-    each = shared.select("ck", "id", "pos", "off", (blanks + 2 - depth).alias("_wins"))
+    each = shared.select("ck", "id", "pos", "off", F.col("wins").alias("_wins"))
     met = hot_join(each, known, "ck", "n")
     is_first = (F.col("id") == F.col("_id")) & (F.col("pos") == F.col("_pos"))
     full = F.expr("shiftleft(1L, _wins) - 1L")

@@ -212,6 +212,18 @@ def test_documents_of_one_id_keep_their_own_words(spark):
     assert kept == {*w, *line("a", 60), *line("b", 60), *line("c", 60), *line("d", 10)}
 
 
+def test_windows_of_a_suffix_come_with_it(spark):
+    """``wins`` counts the windows that begin in a suffix, so its words need not be read again for that."""
+    text = " ".join(f"w{i}" for i in range(40))
+    for n in (2, suffixes.GROUP + 1):
+        keyed = suffixes._prefixes(spark.createDataFrame([(1, text)], "id long, text string"), 20)
+        at = keyed.groupBy("id").agg(F.collect_set(F.struct("pos", F.lit(n).cast("long").alias("n"))).alias("at"))
+        docs = spark.createDataFrame([(1, text)], "id long, text string").join(at, "id")
+        rows = suffixes._suffixes(docs, 20).collect()
+        assert sum(r.wins for r in rows) == 21
+        assert all(r.wins == len(r.words.split()) - 19 for r in rows)
+
+
 def test_deep_nodes_are_the_maximal_repeats():
     """Each node of the sorted suffixes is a word sequence that several suffixes start with and that no next word keeps together."""
     rng = np.random.default_rng(8)
