@@ -230,11 +230,12 @@ def repeated_windows(docs: DataFrame, depth: int = 20) -> DataFrame:
     """
     found = cut(_prefixes(docs, depth), "prefixes")
     counts = cut(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
-    at = hot_join(found, counts, "key", "n").groupBy("id").agg(F.collect_set(F.struct("pos", "n")).alias("at"))
+    at = cut(hot_join(found, counts, "key", "n").groupBy("id").agg(F.collect_set(F.struct("pos", "n")).alias("at")), "places")
+    discard(found, counts)
     shared = cut(_suffixes(docs.join(at, "id"), depth).withColumn(
         "ck", F.unhex(F.md5(F.concat("words", F.lit(b" "), F.col("off").cast("string").cast("binary"))))
     ), "suffixes")
-    discard(found, counts)
+    discard(at)
     firsts = shared.groupBy("key", "ck").agg(
         F.min(F.struct("id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"),
         F.any_value("words").alias("words"), F.any_value("off").alias("off"),

@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import os
 import re
+import time
 import zlib
 
 import duckdb
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from reviewmill.llm import bpe, hnsw, queries, subword, suffixes, toxicity  # noqa: E402
+from reviewmill.plans import storage  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -224,6 +227,35 @@ def test_windows_of_a_suffix_come_with_it(spark):
         assert all(r.wins == len(r.words.split()) - 19 for r in rows)
 
 
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    """They go when the write ends, not when the driver happens to collect its garbage, and the setting is put back."""
+    folders = [str(d) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    clean, before, end = spark.conf.get(setting), files(), time.time() + 5
+    rows = storage.cut(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counted").collect()
+    while files() - before and time.time() < end:
+        time.sleep(0.1)
+    assert len(rows) == 7 and not files() - before
+    assert spark.conf.get(setting) == clean
+
+
+def test_prefixes_are_gone_when_texts_are_dealt_out(spark, monkeypatch):
+    """The tables of all prefixes never lie on disk beside the suffixes."""
+    there = {}
+
+    def noted(df, label):
+        there[label] = storage.cut(df, label), set(os.listdir(storage.shared_dir(spark)))
+        return there[label][0]
+
+    before = set(os.listdir(storage.shared_dir(spark)))
+    monkeypatch.setattr(suffixes, "cut", noted)
+    text = " ".join(f"w{i}" for i in range(40))
+    marks = suffixes.repeated_windows(spark.createDataFrame([(1, text), (2, text)], "id long, text string")).collect()
+    assert [r.id for r in marks] == [2]
+    assert sorted(x.split("-")[0] for x in there["suffixes"][1] - before) == ["places", "suffixes"]
+
+
 def test_deep_nodes_are_the_maximal_repeats():
     """Each node of the sorted suffixes is a word sequence that several suffixes start with and that no next word keeps together."""
     rng = np.random.default_rng(8)
