@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate, groupby
 
 import numpy as np
@@ -18,6 +18,7 @@ from reviewmill.llm.mixing import ranked
 from reviewmill.plans.storage import cut, discard
 
 PREFIX = 8  # words of the first prefix
+PIECE = 10_000  # rows sent on together
 GROUP = 4096  # suffixes of a prefix that one tree may hold; beyond it the prefix is lengthened
 
 
@@ -63,7 +64,7 @@ def anchors(texts: list[bytes], depth: int) -> tuple[np.ndarray, ...]:
     return d, a[first] - zero, inside[first] - zero, inside[last] - zero, g[a[first]]
 
 
-def _chunks(ids: list, texts: list, size: int = 1 << 20) -> Iterator[tuple[list, list[bytes]]]:
+def _chunks(ids: Iterable, texts: Iterable, size: int = 1 << 20) -> Iterator[tuple[list, list[bytes]]]:
     now, parts, total = [], [], 0
     for i, t in zip(ids, texts, strict=True):
         now.append(i)
@@ -100,39 +101,53 @@ def _suffixes(docs: DataFrame, depth: int) -> DataFrame:
     window becomes a group of its own.
     """
 
-    def rows(i: int, text: str | None, at: list) -> Iterator[tuple]:
-        raw = _bytes(text)
+    kinds = [("key", pa.int64()), ("id", pa.int64()), ("pos", pa.int32()), ("off", pa.int32()), ("wins", pa.int32()), ("words", pa.binary())]
+
+    def batch(cols: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(cols, kinds, strict=True)], [n for n, _ in kinds])
+
+    def columns(i: int, raw: bytes, found: list[np.ndarray], at: np.ndarray, n: np.ndarray) -> Iterator[list[list]]:
+        """The columns of one text's rows, at most PIECE places at a time."""
         words = raw.split()
-        _, anchor, low, high, key = anchors([raw], depth)
-        found = {int(a): (int(lo), int(hi), int(k)) for a, lo, hi, k in zip(anchor, low, high, key.view(np.int64), strict=True)}
-        for place in at:
-            if place["pos"] not in found:  # the id is on a row with another text
-                continue
-            lo, hi, k = found[place["pos"]]
-            if place["n"] <= GROUP:
-                yield k, i, place["pos"], place["pos"] - lo, hi - lo + 1, b" ".join(words[lo : hi + depth])
-            else:
-                for w in range(lo, hi + 1):
-                    line = b" ".join(words[w : w + depth])
-                    yield xxhash.xxh64_intdigest(line, 1) - (1 << 63), i, w, 0, 1, line
+        line = b" ".join(words)
+        edge = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)])
+        cut_out = lambda first, end: [line[x:y] for x, y in zip(edge[first].tolist(), (edge[end] - 1).tolist(), strict=True)]
+        anchor, low, high, key = found
+        for first in range(0, len(at), PIECE):
+            pos, often = at[first : first + PIECE], n[first : first + PIECE] > GROUP
+            place = np.minimum(np.searchsorted(anchor, pos), len(anchor) - 1)
+            here = anchor[place] == pos  # else the id is on a row with another text
+            p = place[here & ~often]
+            lo, hi = low[p], high[p]
+            yield [key[p].tolist(), [i] * len(p), anchor[p].tolist(), (anchor[p] - lo).tolist(), (hi - lo + 1).tolist(), cut_out(lo, hi + depth)]
+            for q in place[here & often]:
+                w = np.arange(low[q], high[q] + 1)
+                lines = cut_out(w, w + depth)
+                ones = [1] * len(w)
+                yield [[xxhash.xxh64_intdigest(x, 1) - (1 << 63) for x in lines], [i] * len(w), w.tolist(), [0] * len(w), ones, lines]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple] = []
-            for row in range(b.num_rows):  # one row's places at a time, they are many
-                for line in rows(*(b.column(c)[row].as_py() for c in ("id", "text", "at"))):
-                    out.append(line)
-                    if len(out) > 10_000:
-                        yield batch(out)
-                        out = []
+            ids, lists = b.column("id").to_pylist(), b.column("at")
+            edge = lists.offsets.to_numpy()
+            pos, n = (lists.values.field(c).to_numpy(zero_copy_only=False) for c in ("pos", "n"))
+            out: list[list] = [[] for _ in kinds]
+            for rows, texts in _chunks(range(b.num_rows), (t.as_py() for t in b.column("text")), 1 << 18):
+                doc, *found = anchors(texts, depth)
+                found[-1] = found[-1].view(np.int64)
+                own = np.searchsorted(doc, np.arange(len(texts) + 1))
+                for k, (row, raw) in enumerate(zip(rows, texts, strict=True)):
+                    if own[k] == own[k + 1]:
+                        continue
+                    its = slice(edge[row], edge[row + 1])
+                    for cols in columns(ids[row], raw, [x[own[k] : own[k + 1]] for x in found], pos[its], n[its]):
+                        for whole, more in zip(out, cols, strict=True):
+                            whole += more
+                        if len(out[0]) > PIECE:
+                            yield batch(out)
+                            out = [[] for _ in kinds]
             yield batch(out)
 
-    kinds = [("key", pa.int64()), ("id", pa.int64()), ("pos", pa.int32()), ("off", pa.int32()), ("wins", pa.int32()), ("words", pa.binary())]
-
-    def batch(out: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*out, strict=True)) or [[]] * len(kinds)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(cols, kinds, strict=True)], [n for n, _ in kinds])
-
     return docs.mapInArrow(run, "key long, id long, pos int, off int, wins int, words binary")
 
 
@@ -269,6 +284,16 @@ def _documents(given: DataFrame) -> DataFrame:
     return cut(marked.join(numbers, ["own", "_tk"]).drop("_tk"), "documents")
 
 
+def covered(at: int, mask: int, depth: int) -> Iterator[tuple[int, int]]:
+    """(first, end) of the words under the windows that a mask names, those of neighbouring bits as one."""
+    while mask:
+        least = mask & -mask
+        upper = mask + least  # a carry in place of the lowest run of ones
+        first = at + least.bit_length() - 1
+        yield first, first + ((upper & -upper) // least).bit_length() - 2 + depth
+        mask &= upper
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 20) -> DataFrame:
     """Per row: id, n_words, n_removed, kept (the words left, joined by one blank) and repeats.
 
@@ -296,12 +321,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for b in batches:
             done: list[tuple] = []
             size = 0
+            lists = b.column("starts")
+            edge, known = lists.offsets.to_numpy(), lists.is_valid().to_pylist()
+            at_all, masks = (lists.values.field(c).to_numpy(zero_copy_only=False) for c in ("at", "mask"))
             for row in range(b.num_rows):
-                i, text, starts = (b.column(c)[row].as_py() for c in ("id", "text", "starts"))
+                i, text = (b.column(c)[row].as_py() for c in ("id", "text"))
+                its = slice(edge[row], edge[row + 1] if known[row] else edge[row])
                 words = _bytes(text).split()
                 n, runs = len(words), []
                 for begin, end in sorted(
-                    (s["at"] + w, s["at"] + w + depth) for s in starts or () for w in range(s["mask"].bit_length()) if s["mask"] >> w & 1
+                    x for at, mask in zip(at_all[its].tolist(), masks[its].tolist(), strict=True) for x in covered(at, mask, depth)
                 ):
                     end = min(end, n)
                     if runs and begin <= runs[-1][1]:

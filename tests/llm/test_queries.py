@@ -227,6 +227,30 @@ def test_windows_of_a_suffix_come_with_it(spark):
         assert all(r.wins == len(r.words.split()) - 19 for r in rows)
 
 
+def test_suffixes_hold_the_words_of_their_windows(spark):
+    """Several texts with odd blanks; frequent and rare places mixed, and one that the text does not have."""
+    texts = {i: " \t".join(f"é{(i * k) % 97}" for k in range(30 + i)) + "\n" * (i % 2) for i in range(1, 9)} | {9: "too short", 10: None}
+    docs = spark.createDataFrame(list(texts.items()), "id long, text string").coalesce(1)
+    often = F.when(F.col("pos") % 3 == 0, suffixes.GROUP + 1).otherwise(2).cast("long").alias("n")
+    places = suffixes._prefixes(docs, 20).select("id", F.struct("pos", often).alias("p"))
+    extra = spark.range(1, 11).select("id", F.struct(F.lit(10**6).alias("pos"), F.lit(2).cast("long").alias("n")).alias("p"))
+    at = places.unionByName(extra).groupBy("id").agg(F.collect_set("p").alias("at"))
+    seen = collections.Counter()
+    for r in suffixes._suffixes(docs.join(at, "id"), 20).collect():
+        words, first = texts[r.id].encode().split(), r.pos - r.off
+        assert r.words == b" ".join(words[first : first + r.wins + 19])
+        seen.update((r.id, first + w) for w in range(r.wins))
+    assert seen == collections.Counter((i, w) for i in range(1, 9) for w in range(30 + i - 19))
+
+
+def test_covered_words_are_those_of_the_windows():
+    for mask in range(1 << 13):
+        want = {w for k in range(13) if mask >> k & 1 for w in range(5 + k, 25 + k)}
+        got = list(suffixes.covered(5, mask, 20))
+        assert want == {w for first, end in got for w in range(first, end)}
+        assert len(got) == len([run for run in f"{mask:b}".split("0") if run])
+
+
 def test_a_written_table_leaves_no_shuffle_files(spark):
     """They go when the write ends, not when the driver happens to collect its garbage, and the setting is put back."""
     folders = [str(d) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
