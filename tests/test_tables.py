@@ -501,3 +501,18 @@ def test_tasks_of_token_counts_follow_the_texts(spark):
         out = features.token_features(texts, words.select("word", "score"), words.select("word", "pos"))
         assert f"hashpartitioning(id, {splits * 16})" in re.sub(r"#\d+L?", "", out._jdf.queryExecution().executedPlan().toString())
         assert out.where("sentiment_polarity = 1").count() == 40
+
+
+def test_grounding_shuffles_numbers_and_not_words(spark, monkeypatch):
+    """Rare words are looked up by a number each, whatever the id; words that share one get others."""
+    plans, write = [], features.cut
+    monkeypatch.setattr(features, "cut", lambda df, label="step": plans.append((label, df._jdf.queryExecution().optimizedPlan().toString())) or write(df, label))
+    monkeypatch.setattr(features, "BROADCAST_ROWS", 1)
+    texts = spark.createDataFrame([(f"key-{i}", "p", f"word{i} all other{i % 5}") for i in range(40)], "id string, place_id string, text string")
+    sources = spark.createDataFrame([("p", "word1, word2 all other3"), ("q", "word4")], "place_id string, text string")
+    number, salts = features._numbered, []
+    monkeypatch.setattr(features, "_numbered", lambda words: salts.append(words.count()) or number(words))
+    got = {r.id: r.grounding_score for r in features.grounding(texts, sources).collect()}
+    assert got == {f"key-{i}": pytest.approx((1 + (i in (1, 2)) + (i % 5 == 3)) / 3) for i in range(40)} and salts == [46]
+    assert [label for label, _ in plans].count("hits") == 2
+    assert all("id#" not in plan.split("Aggregate")[0] and "token#" not in plan.split("Join")[0] for label, plan in plans if label == "hits")
