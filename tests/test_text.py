@@ -193,3 +193,15 @@ def test_ngrams_of_a_text_are_counted_where_it_lies(spark):
         assert re.search(rf"hashpartitioning\(id#\d+L?, {splits * 16}\)", plan)
         assert not re.search(r"hashpartitioning\(id#\d+L?, gram", plan)
         assert {r.language for r in found.collect()} == {"en"}
+
+
+def test_a_token_is_looked_at_once(spark):
+    """Tokens are counted as they are; only distinct ones are taken apart, kept or dropped."""
+    texts = spark.createDataFrame([(1, "a (a) b!! -- a"), (2, "b [x] a"), (3, None), (4, "")], "id bigint, text string")
+    toks = spell.distinct_tokens(texts)
+    assert {(r.token, r.core, r.n) for r in toks.collect()} == {("a", "a", 3), ("(a)", "a", 1), ("b!!", "b", 1), ("b", "b", 1), ("[x]", "x", 1)}
+    assert {(r.word, r.freq) for r in spell.distinct_cores(toks).collect()} == {("a", 4), ("b", 2), ("x", 1)}
+    plan = toks._jdf.queryExecution().optimizedPlan().toString().lower()
+    occurrences = plan[plan.index("generate") :]
+    assert "regexp_replace" in plan and "rlike" in plan and "regexp_replace" not in occurrences and "rlike" not in occurrences
+    assert not re.search(r"(filter|project)[^\n]*rlike", plan[plan.index("aggregate") :])
